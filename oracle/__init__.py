@@ -1,0 +1 @@
+"""Independent DuckDB statements for every registered query that SQL can express."""
