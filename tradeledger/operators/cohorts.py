@@ -28,12 +28,13 @@ def purchase_sequence(orders: DataFrame) -> DataFrame:
     times = dated.select(F.struct("customer_unique_id").alias("customer_group"), "order_purchase_timestamp").distinct()
     times = times.withColumn("_day", F.to_date("order_purchase_timestamp"))
     in_day = W.partitionBy("customer_group", "_day").orderBy("order_purchase_timestamp")
+    ranked = times.withColumn("_rank", F.row_number().over(in_day))
+    per_day = ranked.groupBy("customer_group", "_day").agg(F.max("_rank").alias("_times"))
     before = W.partitionBy("customer_group").orderBy("_day").rowsBetween(W.unboundedPreceding, -1)
-    per_day = times.groupBy("customer_group", "_day").agg(F.count(F.lit(1)).alias("_times"))
     per_day = per_day.select(
         "customer_group", "_day", F.coalesce(F.sum("_times").over(before), F.lit(0)).alias("_earlier")
     )
-    ranked = times.withColumn("_rank", F.row_number().over(in_day)).join(per_day, ["customer_group", "_day"])
+    ranked = ranked.join(per_day, ["customer_group", "_day"])
     # re-keyed by an aggregate so that the join back is known not to multiply orders
     return ranked.groupBy("customer_group", "order_purchase_timestamp").agg(
         F.min(F.col("_earlier") + F.col("_rank")).alias("customer_order_sequence")

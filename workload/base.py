@@ -325,3 +325,24 @@ qualify row_number() over (partition by j.order_id, j.order_item_id, j.product_i
   order by j.shipping_limit_date nulls first, j.price nulls first, j.freight_value nulls first) = 1
 """,
 )
+
+
+# ---- registry ------------------------------------------------------------
+
+QUERIES: dict = {}
+ORACLE: dict[str, str] = {}
+TIERS = (490, 560, 610)
+
+
+def query(name: str, statement: str | None = None):
+    """Register ``fn(spark, root)`` under ``name``, with its SQL where there is one."""
+
+    def register(fn):
+        if name in QUERIES:
+            raise ValueError(f"query {name} registered twice")
+        QUERIES[name] = fn
+        if statement is not None:
+            ORACLE[name] = statement
+        return fn
+
+    return register
