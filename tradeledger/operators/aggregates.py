@@ -52,14 +52,18 @@ def seller_metrics(
     delivery_days: Column,
     delayed: Column,
     tier_bounds: tuple[int, ...] = TIER_BOUNDS,
+    copies: str | None = None,
 ) -> DataFrame:
     """Orders, mean delivery time and delay rate per seller, over item rows.
 
+    ``copies`` names a column that says how many item rows a row stands for.
+
     Items are first counted per (seller, order). That makes the distinct order count a
     plain count, shrinks the input of the join, and spreads a dominant seller over all
     its orders before anything is grouped by seller.
     """
-    per_order = items.groupBy("seller_id", "order_id").agg(F.count(F.lit(1)).alias("_items"))
+    size = F.count(F.lit(1)) if copies is None else F.sum(copies)
+    per_order = items.groupBy("seller_id", "order_id").agg(size.alias("_items"))
     dated = per_order.join(
         orders.select("order_id", delivery_days.alias("_days"), delayed.alias("_late")), "order_id", "left"
     )

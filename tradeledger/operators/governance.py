@@ -420,3 +420,23 @@ def operational_rollup(logs: DataFrame, by: list[str] | None = None) -> DataFram
         F.avg(quality).alias("avg_quality_score"),
         F.avg(risk).alias("avg_risk_score"),
     )
+
+
+def checks_summary_row(checks: DataFrame, dataset: str, as_of: str) -> DataFrame:
+    """One log row per run: dataset, time, failure counts, score and the resulting status."""
+    failed = F.col("status") == "FAIL"
+    grave = F.lower("severity").isin("high", "critical")
+    counted = checks.agg(
+        count_where(failed).alias("failed_rules_count"),
+        count_where(failed & ~grave).alias("warning_rules_count"),
+        count_where(failed & grave).alias("critical_rules_count"),
+    )
+    return counted.select(
+        F.lit(dataset).alias("dataset_name"),
+        F.lit(as_of).alias("execution_timestamp"),
+        quality_score(F.col("failed_rules_count")).alias("data_quality_score"),
+        "failed_rules_count",
+        "warning_rules_count",
+        "critical_rules_count",
+        F.when(F.col("failed_rules_count") == 0, "Approved").otherwise("Blocked").alias("publication_status"),
+    )

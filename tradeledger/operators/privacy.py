@@ -7,11 +7,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tradeledger.functions import patterns as pt
 from tradeledger.functions import scalars as sc
 from tradeledger.functions.stable import count_where
+from tradeledger.operators.profiling import long_values
 
 CLASS_RANK = {"non_personal": 1, "indirect_identifier": 2, "personal_data": 3, "sensitive_personal_data": 4}
 CLASSES = list(CLASS_RANK)
@@ -79,9 +79,13 @@ def risk_and_action(kind: str, column: str) -> tuple[str, str]:
 # ---- decisions from the values -------------------------------------------
 
 
-def _text(df: DataFrame, name: str) -> Column:
-    nested = isinstance(df.schema[name].dataType, (T.ArrayType, T.StructType, T.MapType))
-    return F.to_json(name) if nested else F.col(name).cast("string")
+def matches(text: Column, name: str) -> Column:
+    """Whether the pattern ``name`` occurs in the text."""
+    length, character = pt.NEEDS[name]
+    possible = F.length(text) >= length
+    if character is not None:
+        possible = possible & F.contains(text, F.lit(character))
+    return possible & F.regexp_like(text, F.lit(pt.VALUE_PATTERNS[name]))
 
 
 def value_signals(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -89,24 +93,22 @@ def value_signals(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
     The pattern that decides is the first that occurs anywhere in the column, so a maximum
     over all rows replaces a search through joined sample values and needs no row order.
+    Cells are unpivoted first: five small aggregates per cell instead of five per column,
+    which for a wide table would be too large to compile.
     """
     columns = columns or df.columns
-    aggregates = []
-    for c in columns:
-        text = _text(df, c)
-        aggregates.append(F.count(c).alias(f"{c}|non_null"))
-        for name, pattern in pt.VALUE_PATTERNS.items():
-            hit = F.coalesce(F.bool_or(F.regexp_like(text, F.lit(pattern))), F.lit(False))
-            aggregates.append(hit.alias(f"{c}|{name}"))
-    rows = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"`{c}|non_null`").alias("non_null"),
-            *[F.col(f"`{c}|{name}`").alias(name) for name in pt.VALUE_PATTERNS],
-        )
-        for c in columns
-    ]
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    cells = long_values(df, columns)
+    found = cells.groupBy("column_name").agg(
+        F.count("value").alias("non_null"),
+        *[F.bool_or(matches(F.col("value"), name)).alias(name) for name in pt.VALUE_PATTERNS],
+    )
+    # a table without rows has no groups; its columns still get a row
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return names.join(found, "column_name", "left").select(
+        "column_name",
+        F.coalesce("non_null", F.lit(0)).alias("non_null"),
+        *[F.coalesce(name, F.lit(False)).alias(name) for name in pt.VALUE_PATTERNS],
+    )
 
 
 # Reasons shown with a value decision.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from tradeledger.functions.stable import count_where, pct, stable_avg, stable_total
 from tradeledger.operators.contracts import NUMERIC, STAMPS, duplicate_members
 from tradeledger.operators.ordered import quantiles, top_n
+from tradeledger.session import stage
 
 # ---- shared shapes -------------------------------------------------------
 
@@ -118,17 +120,21 @@ def column_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def candidate_keys(df: DataFrame, id_columns: list[str] | None = None) -> DataFrame:
-    columns = id_columns or column_groups(df)["id_columns"]
-    counts = column_counts(df, columns)
+    return keys_from_counts(column_counts(df, id_columns or column_groups(df)["id_columns"]))
+
+
+def keys_from_counts(counts: DataFrame) -> DataFrame:
     full = (F.col("non_null_count") > 0) & (F.col("null_count") == 0)
+    named = [c for c in ("table_name",) if c in counts.columns]
     return counts.select(
+        *named,
         "column_name",
         "non_null_count",
         F.col("unique_count").alias("unique_non_null_count"),
         F.coalesce(F.try_divide("unique_count", "non_null_count"), F.lit(0.0)).alias("uniqueness_ratio"),
         "null_count",
         (full & (F.col("unique_count") == F.col("non_null_count"))).alias("is_possible_key"),
-    ).orderBy(F.desc("is_possible_key"), F.desc("uniqueness_ratio"), "column_name")
+    ).orderBy(*named, F.desc("is_possible_key"), F.desc("uniqueness_ratio"), "column_name")
 
 
 def _semantic_types(df: DataFrame) -> dict[str, str]:
@@ -144,22 +150,20 @@ def _semantic_types(df: DataFrame) -> dict[str, str]:
     return kinds
 
 
-def columns_profile(df: DataFrame, table_name: str) -> DataFrame:
-    kinds = _semantic_types(df)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+def column_roles(tables: dict[str, DataFrame]) -> DataFrame:
+    """table_name, column_name, dtype, semantic_type from the schemas."""
+    rows = [
+        (name, f.name, f.dataType.simpleString(), kind)
+        for name, df in tables.items()
+        for f, kind in zip(df.schema.fields, _semantic_types(df).values())
+    ]
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(rows, "table_name string, column_name string, dtype string, semantic_type string")
 
-    def from_names(values: dict[str, str]) -> Column:
-        pairs = [F.lit(x) for item in values.items() for x in item]
-        return F.element_at(F.create_map(*pairs), F.col("column_name"))
 
-    return column_counts(df).select(
-        F.lit(table_name).alias("table_name"),
-        "column_name",
-        from_names(types).alias("dtype"),
-        from_names(kinds).alias("semantic_type"),
-        "non_null_count",
-        "unique_count",
-    )
+def columns_profile(df: DataFrame, table_name: str) -> DataFrame:
+    counts = column_counts(df).withColumn("table_name", F.lit(table_name))
+    return column_roles({table_name: df}).join(counts, ["table_name", "column_name"], "left").drop("null_count")
 
 
 def duplicate_profile(df: DataFrame, table_name: str) -> DataFrame:
@@ -171,20 +175,31 @@ def duplicate_profile(df: DataFrame, table_name: str) -> DataFrame:
 
 
 def profile_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Null, column, key and duplicate profiles of all tables, each stacked into one frame."""
-    kinds = {
-        "nulls": nulls_profile,
-        "columns": columns_profile,
-        "duplicates": duplicate_profile,
-        "keys": lambda df, name: candidate_keys(df).select(F.lit(name).alias("table_name"), "*"),
+    """Null, column, key and duplicate profiles of all tables, each stacked into one frame.
+
+    Cells are counted once per table and the counts (one row per column) are staged; the
+    null, column and key profiles are read off them.
+    """
+    counted = [column_counts(df).withColumn("table_name", F.lit(name)) for name, df in tables.items()]
+    counts = stage(reduce(DataFrame.unionByName, counted), "column_counts")
+    rows = F.col("non_null_count") + F.col("null_count")
+    roles = column_roles(tables)
+    ids = [(name, c) for name, df in tables.items() for c in column_groups(df)["id_columns"]]
+    out = {
+        "nulls": counts.select(
+            "table_name",
+            "column_name",
+            "null_count",
+            F.coalesce(F.try_divide("null_count", rows), F.lit(0.0)).alias("null_ratio"),
+        ),
+        "columns": roles.join(counts, ["table_name", "column_name"], "left").drop("null_count"),
+        "duplicates": reduce(
+            DataFrame.unionByName, [duplicate_profile(df, name) for name, df in tables.items()]
+        ),
     }
-    out: dict[str, DataFrame] = {}
-    for kind, build in kinds.items():
-        for name, df in tables.items():
-            if kind == "keys" and not column_groups(df)["id_columns"]:
-                continue
-            part = build(df, name)
-            out[kind] = part if kind not in out else out[kind].unionByName(part)
+    if ids:
+        named = next(iter(tables.values())).sparkSession.createDataFrame(ids, "table_name string, column_name string")
+        out["keys"] = keys_from_counts(counts.join(named, ["table_name", "column_name"]))
     return out
 
 

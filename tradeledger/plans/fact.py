@@ -25,6 +25,7 @@ from tradeledger.operators import aggregates as agg
 from tradeledger.operators import cleaning as cl
 from tradeledger.operators.cohorts import first_purchase, purchase_sequence
 from tradeledger.operators.joins import left_join_m1
+from tradeledger.session import stage
 from tradeledger.sources.commerce import Commerce
 
 PURCHASE = "order_purchase_timestamp"
@@ -89,14 +90,24 @@ def _enrich(items: DataFrame, orders: DataFrame, t: Commerce, metrics: DataFrame
     return left_join_m1(fact, metrics, ["seller_id"], keyed=True)
 
 
-def build_fact(t: Commerce, tier_bounds: tuple[int, ...] = agg.TIER_BOUNDS) -> DataFrame:
-    """60-column fact; durations in fractional days, missing money counts as zero."""
-    items = cl.clean_items(t.items)
+def build_fact(t: Commerce, tier_bounds: tuple[int, ...] = agg.TIER_BOUNDS, staged: bool = False) -> DataFrame:
+    """60-column fact; durations in fractional days, missing money counts as zero.
+
+    Items and orders feed several branches (the rows themselves, the sellers' metrics, the
+    customers' history). ``staged=True`` writes the cleaned items and the order keys once to
+    the checkpoint folder, so that a full build scans and shuffles the raw items a single
+    time. The default stays lazy, which is better for a query that needs few columns.
+    """
+    # the first row of a repeated grain survives; the seller metrics still count all of them
+    items = cl.keep_one_counting(cl.clean_items(t.items), cl.GRAIN, ["shipping_limit_date"], "item_copies")
+    items = stage(items, "items") if staged else items
     orders = cl.clean_orders(t.orders)
     sold = items.select("order_id").distinct()
 
     order_side = left_join_m1(orders, cl.clean_customers(t.customers), ["customer_id"], keyed=True)
-    order_side = _with_history(order_side, order_side.join(sold, "order_id", "left_semi"))
+    active = order_side.join(sold, "order_id", "left_semi").select("order_id", "customer_unique_id", PURCHASE)
+    active = stage(active, "active_orders") if staged else active
+    order_side = _with_history(order_side, active)
     order_side = _order_calendar(order_side, days_between)
     order_side = left_join_m1(
         order_side, agg.payments_by_order(cl.distinct_rows(t.payments)), ["order_id"], keyed=True
@@ -104,11 +115,14 @@ def build_fact(t: Commerce, tier_bounds: tuple[int, ...] = agg.TIER_BOUNDS) -> D
     order_side = left_join_m1(order_side, agg.reviews_by_order(cl.distinct_rows(t.reviews)), ["order_id"], keyed=True)
 
     metrics = agg.seller_metrics(
-        items, orders, days_between(PURCHASE, DELIVERED), later_than(DELIVERED, ESTIMATED), tier_bounds
+        items,
+        orders,
+        days_between(PURCHASE, DELIVERED),
+        later_than(DELIVERED, ESTIMATED),
+        tier_bounds,
+        copies="item_copies",
     )
-    # the first row of a repeated grain survives; the metrics above still saw all rows
-    grain = cl.keep_one(items, cl.GRAIN, ["shipping_limit_date"])
-    fact = _enrich(grain, order_side, t, metrics)
+    fact = _enrich(items.drop("item_copies"), order_side, t, metrics)
     fact = fact.withColumns(
         {
             "is_delayed": F.coalesce("is_delayed", F.lit(False)),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,3 +49,16 @@ def pin(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared checkpoint folder and read it back.
+
+    Unlike a checkpoint the copy is columnar: each consumer reads only its columns, and a
+    lost executor costs a re-read instead of a re-computation.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

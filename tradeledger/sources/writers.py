@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,10 +13,16 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     writer.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Redistributes a table that arrived in fewer splits than there are cores (one large file)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_dual(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """The same rows as `<path>.parquet` and `<path>.csv`, computed once."""
     write_parquet(df, f"{path}.parquet", partition_by)
-    stored = df.sparkSession.read.parquet(f"{path}.parquet").select(*df.columns)
+    stored = df.sparkSession.read.schema(df.schema).parquet(f"{path}.parquet").select(*df.columns)
     stored.write.mode("overwrite").option("header", True).csv(f"{path}.csv")
 
 
@@ -66,8 +71,3 @@ def append_log(df: DataFrame, path: str) -> None:
 def read_log(spark, path: str) -> DataFrame:
     """The whole log; columns added later are null in older rows."""
     return spark.read.option("mergeSchema", True).parquet(path)
-
-
-def computed_once(df: DataFrame) -> DataFrame:
-    """Keeps rows on executor disks for several consumers; lost blocks are recomputed."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -11,7 +11,7 @@ from tradeledger.operators import cohorts, joins
 from tradeledger.plans.fact import build_fact_whole_days
 from tradeledger.plans.published import publish, publish_md5
 from tradeledger.plans.star import normalise_for_bi
-from tradeledger.sources.commerce import commerce
+from tradeledger.sources.commerce import commerce, table
 from workload.base import TIERS, cte, days, first_by, pseudonym, query, s_avg, s_sum
 from workload.inputs import fact, published
 
@@ -43,7 +43,7 @@ def _(spark, root):
 
 @query("full_row_dedup", "select distinct l_orderkey, l_linenumber, l_returnflag, l_linestatus from lineitem")
 def _(spark, root):
-    lines = spark.read.parquet(f"{root}/lineitem.parquet")
+    lines = table(spark, root, "lineitem")
     return cl.distinct_rows(lines.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"))
 
 
@@ -383,7 +383,7 @@ select l_suppkey, any_value(flag) as modal_flag from (
 """,
 )
 def _(spark, root):
-    lines = spark.read.parquet(f"{root}/lineitem.parquet")
+    lines = table(spark, root, "lineitem")
     flag = F.concat("l_returnflag", "l_linestatus")
     return lines.groupBy("l_suppkey").agg(F.mode(flag, deterministic=True).alias("modal_flag"))
 
@@ -441,7 +441,7 @@ select s_suppkey, case when s_acctbal <= 25 then 'long_tail' when s_acctbal <= 1
 """,
 )
 def _(spark, root):
-    supplier = spark.read.parquet(f"{root}/supplier.parquet")
+    supplier = table(spark, root, "supplier")
     return supplier.select("s_suppkey", sc.bins("s_acctbal", agg.TIER_BOUNDS, agg.TIER_LABELS).alias("tier"))
 
 
@@ -499,7 +499,7 @@ from part
 """,
 )
 def _(spark, root):
-    part = spark.read.parquet(f"{root}/part.parquet")
+    part = table(spark, root, "part")
     maybe = F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("x"), F.col("p_size").cast("string")))
     return part.select(
         "p_partkey",
@@ -532,7 +532,7 @@ from (select *, regexp_replace(text, '\D', '', 'g') as d from documents)
 """,
 )
 def _(spark, root):
-    docs = spark.read.parquet(f"{root}/documents.parquet")
+    docs = table(spark, root, "documents")
     dated = F.when(F.col("doc_id") % 5 == 0, F.col("source")).otherwise(
         F.concat((2000 + F.col("doc_id") % 30).cast("string"), F.lit("-05-01"))
     )
@@ -557,7 +557,7 @@ from (select p_partkey as check_id, 'Esperado=' || p_type || '| atual=' || p_bra
 def _(spark, root):
     from tradeledger.operators.contracts import expected_and_actual
 
-    part = spark.read.parquet(f"{root}/part.parquet")
+    part = table(spark, root, "part")
     details = part.select(
         F.col("p_partkey").alias("check_id"),
         F.concat(F.lit("Esperado="), "p_type", F.lit("| atual="), "p_brand").alias("details"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tradeledger.operators import cohorts
 from tradeledger.operators import ordered as od
 from tradeledger.plans import marts, reports, star
+from tradeledger.sources.commerce import table
 from workload.base import cte, pseudonym, query, s_avg, s_total, share
 from workload.inputs import fact, published
 
@@ -311,7 +312,7 @@ from events group by 1, 2
 
 
 def daily_points(spark, root):
-    events = spark.read.parquet(f"{root}/events.parquet")
+    events = table(spark, root, "events")
     return events.groupBy(F.col("event_type").alias("dataset_name"), F.to_date("ts").alias("day")).agg(
         F.count(F.lit(1)).alias("row_count")
     )
@@ -352,7 +353,7 @@ select p_name, row_number() over (order by p_name) as name_key from (select dist
 """,
 )
 def _(spark, root):
-    return od.surrogate_keys(spark.read.parquet(f"{root}/part.parquet"), "p_name", "name_key")
+    return od.surrogate_keys(table(spark, root, "part"), "p_name", "name_key")
 
 
 @query(
@@ -366,7 +367,7 @@ def _(spark, root):
 def _(spark, root):
     from tradeledger.operators.profiling import frequencies
 
-    part = spark.read.parquet(f"{root}/part.parquet")
+    part = table(spark, root, "part")
     counts = frequencies(part, ["p_brand", "p_type", "p_name"])
     return od.top_n(counts, ["column_name"], [F.desc("n"), F.asc("value")], 5)
 
@@ -486,7 +487,7 @@ on high, low, tiny into name rule value n
 """,
 )
 def _(spark, root):
-    events = spark.read.parquet(f"{root}/events.parquet")
+    events = table(spark, root, "events")
     wide = events.groupBy("event_type").agg(
         F.count(F.when(F.col("value") > 100, 1)).alias("high"),
         F.count(F.when(F.col("value") <= 100, 1)).alias("low"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tradeledger.operators import catalog, privacy
 from tradeledger.operators import profiling as pf
-from tradeledger.sources.commerce import commerce
+from tradeledger.sources.commerce import commerce, table
 from tradeledger.sources.readers import inventory, run_sql
 from workload.base import cte, query, s_avg
 from workload.inputs import fact
@@ -21,7 +21,7 @@ COLUMNS = {
 
 
 def load(spark, root, name):
-    return spark.read.parquet(f"{root}/{name}.parquet")
+    return table(spark, root, name)
 
 
 def _each(table: str, row: str) -> str:
