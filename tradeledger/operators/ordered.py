@@ -25,9 +25,8 @@ def running_total(
     checkpoint folder because both passes must see the same partition ids.
     """
     group = group or []
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = df.repartitionByRange(parts, *group, *order).withColumn("_part", F.spark_partition_id())
-    cut = pin(cut)
+    # adaptive execution merges neighbouring ranges of a small table; their order stays
+    cut = pin(df.repartitionByRange(*group, *order).withColumn("_part", F.spark_partition_id()))
     here = W.partitionBy("_part", *group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     local = cut.withColumn(alias, F.sum(value).over(here))
 
@@ -41,7 +40,7 @@ def running_total(
     same = F.col("_part") == F.col("_opart")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_o_{g}"))
-    # at most one row per range partition: bounded by spark.sql.shuffle.partitions
+    # at most one row per range partition, so bounded by spark.sql.shuffle.partitions
     joined = local.join(F.broadcast(renamed), same, "left")
     total = F.col(alias) + F.coalesce(F.col("_offset"), F.lit(0))
     return joined.select(*df.columns, total.alias(alias))

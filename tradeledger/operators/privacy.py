@@ -7,10 +7,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeledger.functions import patterns as pt
 from tradeledger.functions import scalars as sc
 from tradeledger.functions.stable import count_where
+from tradeledger.operators.contracts import INTEGRAL, STAMPS
 from tradeledger.operators.profiling import long_values
 
 CLASS_RANK = {"non_personal": 1, "indirect_identifier": 2, "personal_data": 3, "sensitive_personal_data": 4}
@@ -97,11 +99,29 @@ def value_signals(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     which for a wide table would be too large to compile.
     """
     columns = columns or df.columns
-    cells = long_values(df, columns)
-    found = cells.groupBy("column_name").agg(
-        F.count("value").alias("non_null"),
-        *[F.bool_or(matches(F.col("value"), name)).alias(name) for name in pt.VALUE_PATTERNS],
-    )
+    types = {c: df.schema[c].dataType for c in columns}
+    whole = [c for c in columns if isinstance(types[c], INTEGRAL)]
+    silent = [c for c in columns if isinstance(types[c], (T.BooleanType, T.DateType, *STAMPS))]
+    texts = [c for c in columns if c not in whole and c not in silent]
+    parts = []
+    if texts:
+        hits = {name: matches(F.col("value"), name) for name in pt.VALUE_PATTERNS}
+        parts.append(_signal_rows(long_values(df, texts), hits))
+    if whole:
+        # the digits of an integer decide by their number alone: no text, no expression
+        cells = df.select(*[F.col(c).cast("long").alias(c) for c in whole])
+        size = F.abs("value")
+        hits = {name: F.lit(False) for name in pt.VALUE_PATTERNS}
+        hits["cpf"] = size.between(10**10, 10**11 - 1)
+        hits["cnpj"] = size.between(10**13, 10**14 - 1)
+        hits["phone"] = size >= 10**7
+        parts.append(_signal_rows(cells.unpivot([], whole, "column_name", "value"), hits))
+    if silent:
+        # a printed date, time or boolean cannot contain any of the patterns
+        counts = df.agg(*[F.count(c).alias(c) for c in silent])
+        rows = counts.unpivot([], silent, "column_name", "non_null")
+        parts.append(rows.select("*", *[F.lit(False).alias(name) for name in pt.VALUE_PATTERNS]))
+    found = reduce(DataFrame.unionByName, parts)
     # a table without rows has no groups; its columns still get a row
     names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
     return names.join(found, "column_name", "left").select(
@@ -111,16 +131,22 @@ def value_signals(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     )
 
 
+def _signal_rows(cells: DataFrame, hits: dict[str, Column]) -> DataFrame:
+    return cells.groupBy("column_name").agg(
+        F.count("value").alias("non_null"), *[F.bool_or(hit).alias(name) for name, hit in hits.items()]
+    )
+
+
 # Reasons shown with a value decision.
-VALUE_REASON = {
+FINDINGS = {
     "email": "Regex matched email pattern in sampled values.",
     "cpf": "Regex matched CPF pattern in sampled values.",
     "cnpj": "Regex matched CNPJ pattern in sampled values.",
     "phone": "Regex matched phone pattern in sampled values.",
     "ip": "Regex matched IP pattern in sampled values.",
+    "none": "No personal-data regex pattern matched sampled values.",
+    "empty": "Column has only null values.",
 }
-NO_VALUES = "Column has only null values."
-NO_MATCH = "No personal-data regex pattern matched sampled values."
 
 
 def value_label() -> Column:
@@ -152,33 +178,19 @@ def classify_columns(
     scanned = [c for c in df.columns if c not in declared]
     if scanned:
         rows = df if sample_rows is None else df.limit(sample_rows)
-        signals = value_signals(rows, scanned).withColumn("label", value_label())
-        cases = []
+        # what each column would be under each finding: at most columns x 7 rows, from names alone
+        outcomes = []
         for c in scanned:
             name_class, name_reason = class_from_name(c, match)
-            branches = []
-            for label in [None, *pt.VALUE_PATTERNS]:
-                value_class = "non_personal" if label is None else pt.PATTERN_CLASS[label]
+            for finding, value_reason in FINDINGS.items():
+                value_class = pt.PATTERN_CLASS.get(finding, "non_personal")
                 final = max(name_class, value_class, key=CLASS_RANK.__getitem__)
                 risk, action = risk_and_action(final, c)
-                reason = F.lit(f"{name_reason} {VALUE_REASON.get(label, NO_MATCH)}")
-                if label is None:
-                    empty = F.lit(f"{name_reason} {NO_VALUES}")
-                    reason = F.when(F.col("non_null") == 0, empty).otherwise(reason)
-                found = F.col("label").eqNullSafe(F.lit(label))
-                body = F.struct(
-                    F.lit(order[c]).alias("position"),
-                    F.lit(types[c]).alias("dtype"),
-                    F.lit(final).alias("lgpd_classification"),
-                    F.lit(risk).alias("risk_level"),
-                    F.lit(action).alias("recommended_action"),
-                    reason.alias("reason"),
-                )
-                branches.append(F.when((F.col("column_name") == c) & found, body))
-            cases.append(F.coalesce(*branches))
-        decided = signals.select("column_name", F.coalesce(*cases).alias("_d"))
-        fields = ["dtype", "lgpd_classification", "risk_level", "recommended_action", "reason"]
-        parts.append(decided.select("_d.position", "column_name", *[f"_d.{f}" for f in fields]))
+                outcomes.append((order[c], c, finding, types[c], final, risk, action, f"{name_reason} {value_reason}"))
+        decisions = spark.createDataFrame(outcomes, schema.replace("dtype", "finding string, dtype"))
+        finding = F.when(F.col("non_null") == 0, "empty").otherwise(F.coalesce(value_label(), F.lit("none")))
+        signals = value_signals(rows, scanned).select("column_name", finding.alias("finding"))
+        parts.append(decisions.join(signals, ["column_name", "finding"]).drop("finding"))
     out = reduce(DataFrame.unionByName, parts)
     return out.orderBy("position").drop("position")
 
