@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeledger.functions.stable import count_where, pct, stable_avg, stable_total
-from tradeledger.operators.contracts import NUMERIC, STAMPS, duplicate_members
+from tradeledger.operators.contracts import INTEGRAL, NUMERIC, STAMPS, duplicate_members
 from tradeledger.operators.ordered import quantiles, top_n
 from tradeledger.session import stage
 
@@ -105,18 +105,41 @@ def null_percentages(df: DataFrame) -> DataFrame:
     )
 
 
+def _kind(t: T.DataType) -> str:
+    """Columns of one kind are unpivoted together in their own type; the rest as text."""
+    if isinstance(t, INTEGRAL):
+        return "long"
+    if isinstance(t, (T.FloatType, T.DoubleType)):
+        return "double"
+    return "timestamp_ntz" if isinstance(t, (*STAMPS, T.DateType)) else "text"
+
+
 def column_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """column_name, non_null_count, null_count, unique_count (null not counted as a value)."""
+    """column_name, non_null_count, null_count, unique_count (null not counted as a value).
+
+    Cells are counted per (column, value) in their own type, which is cheaper to hash and to
+    shuffle than text; equal cells merge before the shuffle.
+    """
+    kinds: dict[str, list[str]] = {}
+    for c in columns or df.columns:
+        kinds.setdefault(_kind(df.schema[c].dataType), []).append(c)
     present = F.col("value").isNotNull()
-    return (
-        value_counts(df, columns)
-        .groupBy("column_name")
-        .agg(
-            F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias("non_null_count"),
-            F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("null_count"),
-            count_where(present).alias("unique_count"),
+    parts = []
+    for kind, names in kinds.items():
+        if kind == "text":
+            cells = long_values(df, names)
+        else:
+            typed = df.select(*[F.col(c).cast(kind).alias(c) for c in names])
+            cells = typed.unpivot([], names, "column_name", "value")
+        counted = cells.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(
+            counted.groupBy("column_name").agg(
+                F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias("non_null_count"),
+                F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("null_count"),
+                count_where(present).alias("unique_count"),
+            )
         )
-    )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def candidate_keys(df: DataFrame, id_columns: list[str] | None = None) -> DataFrame:

@@ -104,11 +104,11 @@ def token_checks(published: DataFrame, prefixes: dict[str, str]) -> DataFrame:
 def default_fill_checks(published: DataFrame, source: DataFrame, defaults: dict[str, str]) -> DataFrame:
     """No nulls are left, and the rows that were null in the source carry the default.
 
-    Rows are not matched one by one. Per published grain the source must have as many
+    Rows are not matched one by one. Per published primary key the source must have as many
     "null or already default" rows as the published table has default rows; both sides are
     counted in one shuffle over their union, without a join that could multiply rows.
     """
-    grain = ["order_id", "order_item_id", "seller_key"]
+    grain = ["order_id", "order_item_id"]
     columns = list(defaults)
     expected = [
         (F.col(c).isNull() | (F.col(c) == F.lit(defaults[c]))).cast("long").alias(c) for c in columns
@@ -132,7 +132,7 @@ def default_fill_checks(published: DataFrame, source: DataFrame, defaults: dict[
             _status((F.col(c) == 0) & (F.col(f"_null_{c}") == 0)).alias("status"),
             (F.col(c) + F.col(f"_null_{c}")).alias("failed_rows"),
             F.concat(
-                F.lit("nulls="), F.col(f"_null_{c}").cast("string"), F.lit(" | grains without default="),
+                F.lit("nulls="), F.col(f"_null_{c}").cast("string"), F.lit(" | keys without default="),
                 F.col(c).cast("string"),
             ).alias("details"),
         )

@@ -80,11 +80,14 @@ def dim_date(df: DataFrame) -> DataFrame:
     ).orderBy("order_date")
 
 
+def _keyed(df: DataFrame, natural: str, attributes: list[str]) -> DataFrame:
+    """One row per natural key; hashing the key is left to the caller, after the de-duplication."""
+    return keep_one(df.filter(F.col(natural).isNotNull()).select(natural, *attributes), [natural])
+
+
 def dim_product(df: DataFrame) -> DataFrame:
-    keyed = df.filter("product_id is not null").select(
-        pseudonym("product_id", "product_id").alias("product_key"), *PRODUCT_ATTRIBUTES
-    )
-    return keep_one(keyed, ["product_key"])
+    products = _keyed(df, "product_id", PRODUCT_ATTRIBUTES)
+    return products.select(pseudonym("product_id", "product_id").alias("product_key"), *PRODUCT_ATTRIBUTES)
 
 
 def dim_payment(df: DataFrame) -> DataFrame:
@@ -108,19 +111,17 @@ def dim_order_status(df: DataFrame) -> DataFrame:
 
 
 def dim_customer(df: DataFrame) -> DataFrame:
-    keyed = df.filter("customer_id is not null").select(
+    return _keyed(df, "customer_id", ["customer_unique_id", "customer_state"]).select(
         pseudonym("customer_id", "customer_id").alias("customer_key"),
         pseudonym("customer_unique_id", "customer_unique_id").alias("customer_master_key"),
         "customer_state",
     )
-    return keep_one(keyed, ["customer_key"])
 
 
 def dim_seller(df: DataFrame) -> DataFrame:
-    keyed = df.filter("seller_id is not null").select(
+    return _keyed(df, "seller_id", ["seller_state"]).select(
         pseudonym("seller_id", "seller_id").alias("seller_key"), "seller_state"
     )
-    return keep_one(keyed, ["seller_key"])
 
 
 # ---- fact ----------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tradeledger.operators.cleaning import with_snake_names
 
-REPLACEMENT = "�"
+BYTE_ORDER_MARK = (0xEF, 0xBB, 0xBF)
 
 
 def date_columns(names: list[str]) -> list[str]:
@@ -25,18 +25,30 @@ def _csv(spark: SparkSession, path: str, encoding: str, schema, infer: bool) ->
     return reader.option("inferSchema", infer and schema is None).csv(path)
 
 
+def _starts_with_mark(spark: SparkSession, path: str) -> bool:
+    """Whether the first file under ``path`` begins with a UTF-8 byte-order mark (three bytes are read)."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.getFileStatus(target).isDirectory():
+        names = sorted(f.getPath().toString() for f in system.listStatus(target) if f.isFile())
+        target = jvm.org.apache.hadoop.fs.Path(next(n for n in names if not n.rsplit("/", 1)[-1].startswith(("_", "."))))
+    stream = system.open(target)
+    try:
+        return tuple(stream.read() for _ in BYTE_ORDER_MARK) == BYTE_ORDER_MARK
+    finally:
+        stream.close()
+
+
 def csv_encoding(spark: SparkSession, path: str) -> str:
-    """`utf-8`, `utf-8-sig` (byte-order mark) or `latin-1`, judged over the whole file.
+    """`utf-8`, `utf-8-sig` (byte-order mark) or `latin-1`.
 
-    Spark does not fail on bytes that are not UTF-8, it replaces them; the replacement
-    character is therefore the sign to fall back to latin-1.
+    Every line is checked in parallel: Spark does not fail on bytes that are not UTF-8, so
+    the fallback to latin-1 needs its own look at the data.
     """
     lines = spark.read.text(path)
-    seen = lines.agg(
-        F.coalesce(F.bool_or(F.contains("value", F.lit(REPLACEMENT))), F.lit(False)).alias("broken"),
-        F.coalesce(F.bool_or(F.startswith("value", F.lit("﻿"))), F.lit(False)).alias("marked"),
-    ).first()
-    return "latin-1" if seen.broken else "utf-8-sig" if seen.marked else "utf-8"
+    broken = lines.agg(F.coalesce(F.bool_or(~F.is_valid_utf8("value")), F.lit(False))).first()[0]
+    return "latin-1" if broken else "utf-8-sig" if _starts_with_mark(spark, path) else "utf-8"
 
 
 def read_csv(
@@ -45,7 +57,7 @@ def read_csv(
     """(table, encoding, date columns). Date columns that hold unreadable text stay text."""
     encoding = csv_encoding(spark, path)
     df = _csv(spark, path, "ISO-8859-1" if encoding == "latin-1" else "UTF-8", schema, infer)
-    df = df.toDF(*[c.lstrip("﻿").strip('"') for c in df.columns])
+    df = df.toDF(*[c.lstrip("\ufeff").strip('"') for c in df.columns])
     dates = date_columns(df.columns)
     texts = [c for c in dates if isinstance(df.schema[c].dataType, T.StringType)]
     if texts:

@@ -29,7 +29,7 @@ def write_dual(df: DataFrame, path: str, partition_by: list[str] | None = None)
 def write_bi_csv(df: DataFrame, path: str) -> None:
     """`;` separated CSV with a byte-order mark in front of the header of every part."""
     first, *rest = df.columns
-    marked = df.withColumnRenamed(first, "﻿" + first).select("﻿" + first, *rest)
+    marked = df.withColumnRenamed(first, "\ufeff" + first).select("\ufeff" + first, *rest)
     marked.write.mode("overwrite").option("header", True).option("sep", ";").option("encoding", "UTF-8").csv(path)
 
 

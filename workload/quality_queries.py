@@ -450,8 +450,8 @@ def _damaged(df):
 select 'default_fill__{c}' as check_name,
   case when nulls = 0 and wrong = 0 then 'PASS' else 'FAIL' end as status, cast(nulls + wrong as bigint) as failed_rows
 from (select count(*) filter (damaged is null) as nulls,
-        count(distinct (order_id, order_item_id, seller_id)) filter (source is null and damaged is null) as wrong
-      from (select order_id, order_item_id, seller_id, {c} as source,
+        count(distinct (order_id, order_item_id)) filter (source is null and damaged is null) as wrong
+      from (select order_id, order_item_id, {c} as source,
               {"seller_state" if c == "seller_state" else f"coalesce({c}, '{v}')"} as damaged from fact))
 """
         for c, v in pb.DEFAULT_FILL.items()
