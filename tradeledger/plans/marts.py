@@ -51,7 +51,19 @@ def seller_mart(df: DataFrame) -> DataFrame:
     return mart.orderBy("seller_volume_tier", "seller_key")
 
 
-def cohort_mart(df: DataFrame) -> DataFrame:
+def cohort_mart(df: DataFrame, cohort: str = "order_month") -> DataFrame:
+    """Customers, orders and ticket per cohort and month offset.
+
+    ``order_month`` names a cohort after the month of the order itself, the convention of
+    the published column. ``first_purchase`` is the textbook cohort: the month of the
+    customer's first purchase, which is the order month moved back by the offset.
+    """
+    if cohort == "first_purchase":
+        month = F.make_date("order_year", "order_month", F.lit(1))
+        first = F.date_format(F.add_months(month, -F.col("cohort_order_month_number")), "yyyy-MM")
+        df = df.withColumn("purchase_cohort_month", first)
+    elif cohort != "order_month":
+        raise ValueError(f"unknown cohort definition: {cohort}")
     return _mart(
         df,
         ["purchase_cohort_month", "cohort_order_month_number"],

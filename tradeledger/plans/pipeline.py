@@ -220,7 +220,7 @@ def sql_reports(run: Run) -> DataFrame:
         report = reports.REPORTS[name](fact)
         target, seen = run.path("reports", name), Observation(name)
         counted = report.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.coalesce(1).write.mode("overwrite").option("header", True).csv(target)
+        counted.write.mode("overwrite").option("header", True).csv(target)
         return name, target, seen.get["rows"], len(report.columns)
 
     done = together([partial(write, name) for name in reports.REPORTS])

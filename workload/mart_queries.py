@@ -454,6 +454,33 @@ from m_cohort c left join (
   from m_cohort where cohort_order_month_number = 0 group by 1) b on c.purchase_cohort_month = b.m
 """,
 )
+cte(
+    "m_cohort_first",
+    f"""
+select strftime(customer_first_purchase_timestamp, '%Y-%m') as purchase_cohort_month, cohort_order_month_number,
+  count(distinct customer_unique_id) as customers, count(distinct order_id) as orders, count(order_item_id) as items,
+  {s_avg("total_item_value")} as avg_ticket, {LATE} as delayed_rate
+from fact group by 1, 2
+""",
+)
+query("cohort_mart_by_first_purchase", "select * from m_cohort_first")(
+    lambda s, r: marts.cohort_mart(published(s, r), "first_purchase")
+)
+
+
+@query(
+    "cohort_retention_by_first_purchase",
+    """
+select c.*, b.baseline_customers, c.customers / nullif(b.baseline_customers, 0) * 100 as retention_rate
+from m_cohort_first c left join (
+  select purchase_cohort_month as m, cast(sum(customers) as bigint) as baseline_customers
+  from m_cohort_first where cohort_order_month_number = 0 group by 1) b on c.purchase_cohort_month = b.m
+""",
+)
+def _(spark, root):
+    return cohorts.retention(marts.cohort_mart(published(spark, root), "first_purchase"))
+
+
 query("cohort_retention", "select * from retention_rows")(
     lambda s, r: cohorts.retention(marts.cohort_mart(published(s, r)))
 )
@@ -579,8 +606,16 @@ from bi_input b left join dim_payment p on b.payment_type_mode = p.payment_type
 left join dim_order_status s on b.order_status = s.order_status
 """,
 )
-for key in star.PRIMARY_KEYS:
-    query(key, f"select * from {key}")(lambda s, r, k=key: _star(s, r)[k])
+for key, build in (
+    ("dim_date", star.dim_date),
+    ("dim_product", star.dim_product),
+    ("dim_payment", star.dim_payment),
+    ("dim_order_status", star.dim_order_status),
+    ("dim_customer", star.dim_customer),
+    ("dim_seller", star.dim_seller),
+):
+    query(key, f"select * from {key}")(lambda s, r, b=build: b(star.normalise_for_bi(fact(s, r))))
+query("fact_sales", "select * from fact_sales")(lambda s, r: _star(s, r)["fact_sales"])
 
 
 def _check_sql(name: str, failed: str, details: str) -> str:
