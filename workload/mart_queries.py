@@ -68,14 +68,14 @@ select order_year, order_month, customer_state, count(distinct order_id) as orde
 from published group by 1, 2, 3
 """,
 )
-for key, build, table in (
+for key, build, mart in (
     ("logistics_mart", marts.logistics_mart, "m_logistics"),
     ("seller_mart", marts.seller_mart, "m_seller"),
     ("cohort_mart", marts.cohort_mart, "m_cohort"),
     ("category_payment_mart", marts.category_mart, "m_category"),
     ("state_performance_mart", marts.state_mart, "m_state"),
 ):
-    query(key, f"select * from {table}")(lambda s, r, b=build: b(published(s, r)))
+    query(key, f"select * from {mart}")(lambda s, r, b=build: b(published(s, r)))
 
 
 @query(
