@@ -16,7 +16,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from tradeledger.plans.pipeline import Run, run_all  # noqa: E402
+from tradeledger.plans.batch import Run, run_all  # noqa: E402
 from tradeledger.session import build_session  # noqa: E402
 from tradeledger.sources.commerce import commerce  # noqa: E402
 
@@ -49,7 +49,7 @@ def main() -> None:
         )
     )
     line = {
-        "metric": "pipeline_wall_time",
+        "metric": "batch_wall_time",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tradeledger.plans import pipeline
+from tradeledger.plans import batch
 from tradeledger.sources import readers, writers
 from tradeledger.sources.commerce import commerce
 
@@ -91,10 +91,10 @@ def test_inventory(spark, root):
 
 def test_batch_run(spark, root, tmp_path):
     now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    run = pipeline.Run(spark, commerce(spark, root), str(tmp_path), now, min_rows=1000, tier_bounds=(490, 560, 610))
-    seconds = pipeline.run_all(run)
-    assert list(seconds) == list(pipeline.STEPS)
-    pipeline.monitor(run)  # a second run appends to the history
+    run = batch.Run(spark, commerce(spark, root), str(tmp_path), now, min_rows=1000, tier_bounds=(490, 560, 610))
+    seconds = batch.run_all(run)
+    assert list(seconds) == list(batch.STEPS)
+    batch.monitor(run)  # a second run appends to the history
     assert writers.read_log(spark, run.path("monitoring", "history.parquet")).count() == 2
     assert run.published().count() == run.fact().count()
     monitoring = {r["check_name"]: r["status"] for r in run.read("monitoring", "published_monitoring").collect()}
@@ -109,6 +109,6 @@ def test_batch_run(spark, root, tmp_path):
 
 
 def test_too_small_a_fact_stops_the_run(spark, root, tmp_path):
-    run = pipeline.Run(spark, commerce(spark, root), str(tmp_path), "2024-01-01 00:00:00")
+    run = batch.Run(spark, commerce(spark, root), str(tmp_path), "2024-01-01 00:00:00")
     with pytest.raises(ValueError, match="at least 100001"):
-        pipeline.run_all(run)
+        batch.run_all(run)

@@ -107,13 +107,13 @@ NAMED = {
 }
 
 
-def _classification_sql() -> str:
+def _classification_sql(table: str, named: dict[str, tuple[str, str, str]]) -> str:
     parts = []
-    for c, (dtype, kind, reason) in NAMED.items():
+    for c, (dtype, kind, reason) in named.items():
         label = "case " + " ".join(f"when bool_or(regexp_matches(cast({c} as varchar), '{p}')) then '{n}'" for n, p in RE2.items())
         parts.append(
             f"select '{c}' as column_name, '{dtype}' as dtype, '{kind}' as k, '{reason}' as why, "
-            f"{label} end as label from people"
+            f"{label} end as label from {table}"
         )
     return (
         "select column_name, dtype, cls as lgpd_classification, "
@@ -130,16 +130,27 @@ def _classification_sql() -> str:
         "when k = 'sensitive_personal_data' then k when k = 'personal_data' or label in ('email', 'cpf', 'cnpj', 'phone') "
         "then 'personal_data' when label = 'ip' then 'indirect_identifier' else k end as cls from ("
         + "\nunion all\n".join(parts)
-        + ")) union all select 'segment', 'string', 'non_personal', 'low', 'keep', 'Declared.' "
-        "union all select 'state_code', 'int', 'indirect_identifier', 'medium', 'review', 'Declared token.'"
+        + "))"
     )
 
 
-cte("people_classes", _classification_sql())
+cte(
+    "people_classes",
+    _classification_sql("people", NAMED)
+    + " union all select 'segment', 'string', 'non_personal', 'low', 'keep', 'Declared.' "
+    "union all select 'state_code', 'int', 'indirect_identifier', 'medium', 'review', 'Declared token.'",
+)
 query("classification_table", "select * from people_classes")(classified)
 
 
-@query("classification_documents")
+PLAIN = "No personal-data indicators found in column name."
+DOCUMENTS = {
+    c: (dtype, "non_personal", PLAIN)
+    for c, dtype in (("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint"))
+}
+
+
+@query("classification_documents", _classification_sql("documents", DOCUMENTS))
 def _(spark, root):
     return privacy.classify_columns(load(spark, root, "documents"))
 
@@ -161,7 +172,13 @@ def _(spark, root):
     return privacy.apply_actions(people(spark, root), actions)[0]
 
 
-@query("privacy_action_log")
+@query(
+    "privacy_action_log",
+    "select column_name, recommended_action as action, case recommended_action when 'keep' then 'Column preserved.' "
+    "when 'mask' then 'Masked direct identifier.' when 'anonymize' then 'Anonymized values.' "
+    "when 'remove' then 'Column removed from dataset.' else 'Column preserved and flagged for review.' end as note "
+    "from people_classes",
+)
 def _(spark, root):
     return privacy.apply_classification(people(spark, root), classified(spark, root))[1]
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tradeledger.operators import catalog, privacy
 from tradeledger.operators import profiling as pf
-from tradeledger.sources.commerce import commerce, table
+from tradeledger.sources.commerce import SCHEMAS, commerce, table
 from tradeledger.sources.readers import inventory, run_sql
 from workload.base import cte, query, s_avg
 from workload.inputs import fact
@@ -40,7 +40,23 @@ def _(spark, root):
     return inventory({t: load(spark, root, t) for t in TABLES}).select("table_name", "rows")
 
 
-@query("raw_inventory_with_types")
+SPARK_TYPES = {"long": "bigint"}
+
+
+def _fields(t: str) -> list[tuple[str, str]]:
+    pairs = [field.split() for field in SCHEMAS[t].split(", ")]
+    return [(name, SPARK_TYPES.get(kind, kind)) for name, kind in pairs]
+
+
+@query(
+    "raw_inventory_with_types",
+    "\nunion all\n".join(
+        f"select '{t}' as table_name, count(*) as rows, {len(_fields(t))} as columns_count, "
+        f"'{', '.join(f'{n}: {k}' for n, k in _fields(t))}' as dtypes, "
+        f"'{', '.join(n for n, _ in _fields(t) if 'date' in n)}' as date_columns, '' as encoding from {t}"
+        for t in TABLES
+    ),
+)
 def _(spark, root):
     return inventory({t: load(spark, root, t) for t in TABLES})
 
@@ -148,7 +164,18 @@ def _(spark, root):
     return pf.profile_tables({t: load(spark, root, t) for t in ("customer", "orders", "part")})["nulls"]
 
 
-@query("dataset_profiling_run")
+def _profile(t: str, n: str, kind: str) -> str:
+    role = "date" if "date" in n else "categorical" if kind == "string" else "numeric"
+    return (
+        f"select '{t}' as table_name, '{n}' as column_name, '{kind}' as dtype, '{role}' as semantic_type, "
+        f"count({n}) as non_null_count, count(distinct {n}) as unique_count from {t}"
+    )
+
+
+@query(
+    "dataset_profiling_run",
+    "\nunion all\n".join(_profile(t, n, k) for t in ("customer", "orders", "part", "lineitem") for n, k in _fields(t)),
+)
 def _(spark, root):
     tables = {t: load(spark, root, t) for t in ("customer", "orders", "part", "lineitem")}
     return pf.profile_tables(tables)["columns"]

