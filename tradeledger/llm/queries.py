@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeledger.llm import decontamination, line_crf, mixing, pseudonyms, quality_rules, simhash, token_counts, url_filter
+from tradeledger.llm import decontamination, license_scan, line_crf, mixing, pseudonyms, quality_rules, simhash, token_counts, url_filter
 from tradeledger.llm.common import bounded_rows, held_out, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,16 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS_SQL = rf"regexp_extract_all(coalesce({LOWER_SQL}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query("op1_license_scan", license_scan.oracle(word_sql=WORDS_SQL))
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every document."""
+    return license_scan.scan(table(spark, sf_dir, "documents"), text="text", keep=["doc_id"])
+
+
 #: Documents at or over this score are predicted good.
 GOOD_SCORE = 0.7
 #: Demonstration key of the registered query; a production run passes its own secret.
@@ -53,9 +63,6 @@ def classified_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-WORDS_SQL = rf"regexp_extract_all(coalesce({LOWER_SQL}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
-
 LEAK_SQL = rf"""
 with d as (select row_number() over () as r, doc_id, {WORDS_SQL} as w from documents),
 b as (select cast(item_id as varchar) as item, {WORDS_SQL} as w from benchmark),
