@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tradeledger.llm.common import col
 from tradeledger.operators.ordered import running_total
+from tradeledger.session import stage
 
 #: A plan has one row per source; more sources than this are joined without a broadcast.
 BROADCAST_SOURCES = 10_000
@@ -82,6 +83,7 @@ def mixing_plan(sized: DataFrame, max_epochs: int = 3, cycle: tuple[int, ...] =
     # rows alike share a key: they are drawn together
     keyed = sized.filter("size > 0").groupBy("source", "_key").agg(F.sum("size").alias("_sum"))
     running = running_total(keyed, ["_key"], "_sum", "_upto", ["source"])
+    plan = stage(plan, "mixing-targets")
     wanted = plan.select(F.col("source").alias("_source"), "_part")
     if plan.count() <= BROADCAST_SOURCES:
         wanted = F.broadcast(wanted)
@@ -104,7 +106,9 @@ def mix(
     keep = list(docs.columns) if keep is None else keep
     made = {"size": words(col(text)), "_key": draw_key(col(doc_id), col(text), seed), "_from": col(source)}
     sized = docs.select(F.struct(*[col(c) for c in keep]).alias("_row"), *[v.alias(k) for k, v in made.items()])
-    plan = mixing_plan(sized.select(F.col("_from").alias("source"), "size", "_key"), max_epochs, cycle)
+    # words are counted and keys made once for the plan, and once for the result
+    narrow = stage(sized.select(F.col("_from").alias("source"), "size", "_key"), "mixing-sizes")
+    plan = stage(mixing_plan(narrow, max_epochs, cycle), "mixing-plan")
     bounded = plan.count() <= BROADCAST_SOURCES
     joined = sized.join(F.broadcast(plan) if bounded else plan, F.col("_from").eqNullSafe(F.col("source")))
     extra = F.when((F.col("size") > 0) & (F.col("_key") <= F.col("_last")), 1).otherwise(0)
