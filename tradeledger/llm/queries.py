@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeledger.llm import decontamination, license_scan, line_crf, mixing, pseudonyms, quality_rules, simhash, token_counts, url_filter
+from tradeledger.llm import decontamination, license_scan, line_crf, mixing, pseudonyms, quality_rules, simhash, substring_dedup, token_counts, url_filter
 from tradeledger.llm.common import bounded_rows, held_out, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,6 +107,16 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), "url", keep=["page_id"])
 
 
+@query("op6_suffix_dedup")
+def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that an earlier one has in strings of 50."""
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def learned_rules(spark: SparkSession, sf_dir: str, rows: int = RULE_SAMPLE) -> list[quality_rules.Rule]:
     sample = labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", rows)
     measured = bounded_rows(quality_rules.with_statistics(sample, "text", ["doc_id", "label"]), rows)
