@@ -13,9 +13,9 @@ that can have elected it. Three passes over the texts, which are dealt out once:
    are equal where 50 symbols are common, and the smallest document of a run has them first.
 3. Marked windows are cut out of the texts.
 
-Documents that are whole copies of an earlier one are settled beforehand by their digest, and
-copies of a context within a task before they are sent, so that a popular text or passage is
-one entry per task and not one per document.
+Copies of a context within a task are settled before they are sent, so that a popular text or
+passage is one entry per task in its bucket and not one per document; what is settled goes to
+buckets by document. Whole copies of an earlier document are found by their digest.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ BUCKET_BYTES = 16 << 20  # text whose anchors share a bucket, on average
 HELD = 1_500_000  # entries a task holds before it sends them
 LAST = (1 << 63) - 1  # a null id comes after all others
 FULL, NEED = 1, 2
+TAG = 3  # bytes of a text's tag: 16 bits of its checksum, and a bit for a null id
+NO_ID = 1 << 16
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -216,7 +218,7 @@ def requests(n_buckets: int):
             for sign, prefix in ((False, ""), (True, "done_")):
                 own = part[done[part] == sign]
                 own = own[np.argsort(doc[own], kind="stable")]
-                row |= {f"{prefix}docs": rising(doc[own]), f"{prefix}tags": planes(tag[own], 2), f"{prefix}contexts": planes(context[own], 6)}
+                row |= {f"{prefix}docs": rising(doc[own]), f"{prefix}tags": planes(tag[own], TAG), f"{prefix}contexts": planes(context[own], 6)}
                 if not sign:
                     row["grams"] = planes(gram[own], 4)
             rows.append(row)
@@ -253,7 +255,7 @@ def settle(n_parts: int):
     """Bucket of pass 1: which anchors repeat as a whole, and which contexts must be compared."""
 
     def run(table: pa.Table) -> pa.Table:
-        doc, tag = gathered_docs(table), gathered(table, "tags", 2)
+        doc, tag = gathered_docs(table), gathered(table, "tags", TAG)
         gram, context = gathered(table, "grams", 4), gathered(table, "contexts", 6)
         order = np.lexsort((tag, doc, context, gram))
         doc, tag, gram, context = doc[order], tag[order], gram[order], context[order]
@@ -273,7 +275,7 @@ def settle(n_parts: int):
             state[full] = FULL
             state[~full & open_[of]] = NEED
         use = state > 0
-        done_doc, done_tag, done_context = gathered_docs(table, "done_docs"), gathered(table, "done_tags", 2), gathered(table, "done_contexts", 6)
+        done_doc, done_tag, done_context = gathered_docs(table, "done_docs"), gathered(table, "done_tags", TAG), gathered(table, "done_contexts", 6)
         doc, tag = np.concatenate([doc[use], done_doc]), np.concatenate([tag[use], done_tag])
         context = np.concatenate([context[use], done_context])
         state = np.concatenate([state[use], np.full(len(done_doc), FULL, np.uint64)])
@@ -287,7 +289,7 @@ def replies(doc: np.ndarray, tag: np.ndarray, context: np.ndarray, state: np.nda
     for number, part in cut(spread(doc, n_parts)):
         part = part[np.argsort(doc[part], kind="stable")]
         rows.append({
-            "part": number, "docs": rising(doc[part]), "tags": planes(tag[part], 2), "contexts": planes(context[part], 6),
+            "part": number, "docs": rising(doc[part]), "tags": planes(tag[part], TAG), "contexts": planes(context[part], 6),
             "states": planes(state[part], state_size),
         })
     return pa.Table.from_pylist(rows, schema=REPLY)
@@ -300,7 +302,7 @@ def per_document(state_size: int):
     """All replies to the documents of one part, a row for each document."""
 
     def run(table: pa.Table) -> pa.Table:
-        doc, tag = gathered_docs(table), gathered(table, "tags", 2)
+        doc, tag = gathered_docs(table), gathered(table, "tags", TAG)
         context, state = gathered(table, "contexts", 6), gathered(table, "states", state_size)
         order = np.lexsort((state, context, tag, doc))
         doc, tag, context, state = doc[order], tag[order], context[order], state[order]
@@ -352,7 +354,7 @@ def contexts(n_buckets: int):
         for number, part in cut(((gram >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64)):
             part = part[np.argsort(doc[part], kind="stable")]
             rows.append({
-                "bucket": number, "docs": rising(doc[part]), "tags": planes(tag[part], 2), "grams": planes(gram[part], 4),
+                "bucket": number, "docs": rising(doc[part]), "tags": planes(tag[part], TAG), "grams": planes(gram[part], 4),
                 "contexts": planes(context[part], 6), "sides": planes(side[part], 2), "strings": string[part].tobytes(),
             })
         return batches_of(rows, STRINGS)
@@ -360,6 +362,11 @@ def contexts(n_buckets: int):
     def run(batches):
         held, size = [], 0
         for docs, tags, texts, (keys, states) in (p for c in read(batches) for p in pieces(c)):
+            use = [i for i, x in enumerate(states) if x and NEED in x]
+            if not use:
+                continue
+            docs, tags = docs[use], tags[use]
+            texts, keys, states = ([x[i] for i in use] for x in (texts, keys, states))
             found = Texts.of(texts)
             place, gram, context = found.anchors()
             pick = np.flatnonzero(answer(found, place, context, keys, states, 1) == NEED)
@@ -386,7 +393,7 @@ def compare(n_parts: int):
     """Bucket of pass 2: windows that an earlier document has, by columns."""
 
     def run(table: pa.Table) -> pa.Table:
-        doc, tag = gathered_docs(table), gathered(table, "tags", 2)
+        doc, tag = gathered_docs(table), gathered(table, "tags", TAG)
         gram, context, side = gathered(table, "grams", 4), gathered(table, "contexts", 6), gathered(table, "sides", 2).astype(np.int64)
         string = np.concatenate([np.frombuffer(x, np.uint8).reshape(-1, CONTEXT) for x in table.column("strings").to_pylist()])
         order = np.argsort(gram, kind="stable")
@@ -423,7 +430,7 @@ def cover(found: Texts, place: np.ndarray, masks: np.ndarray) -> np.ndarray:
 def cutter(batches):
     """Pass 3: (doc, tag, text, full keys, states, masked keys, masks, copy) to spans and kept bytes."""
     every = np.uint64((1 << OFFSETS) - 1)
-    for docs, tags, texts, (numbers, keys, states, masked, masks, copies) in (p for c in read(batches) for p in pieces(c)):
+    for docs, tags, texts, (keys, states, masked, masks, copies) in (p for c in read(batches) for p in pieces(c)):
         found = Texts.of(texts)
         if any(k or m for k, m in zip(keys, masked)):
             place, _, context = found.anchors()
@@ -448,7 +455,7 @@ def cutter(batches):
             spans.append([{"start": int(x), "end": int(y)} for x, y in zip(edge[0::2], edge[1::2])])
             kept.append(found.data[a:b][~own].tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(numbers, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array(spans, SPAN), pa.array(kept, pa.binary())],
+            [pa.array(docs, pa.int64(), mask=tags >= NO_ID), pa.array([len(t) for t in texts], pa.int64()), pa.array(spans, SPAN), pa.array(kept, pa.binary())],
             names=["doc_id", "n_bytes", "spans", "kept"],
         )
 
@@ -466,36 +473,34 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     """
     number = F.coalesce(col(doc_id).cast("long"), F.lit(LAST))
     body = F.coalesce(col(text).cast("string"), F.lit(""))
-    digest = F.md5(body.cast("binary"))
-    tag = F.conv(F.substring(digest, 1, 4), 16, 10).cast("int")
-    tag = F.coalesce(tag, F.lit(0))
-    dealt = docs.select(number.alias("doc"), tag.alias("tag"), body.alias("text"), col(doc_id).cast("long").alias("doc_id"))
+    tag = F.crc32(body.cast("binary")).bitwiseAND(NO_ID - 1).cast("int")
+    # the same columns in all passes, so that the texts are dealt out once
+    dealt = docs.select(number.alias("doc"), (tag + F.when(col(doc_id).isNull(), NO_ID).otherwise(0)).alias("tag"), body.alias("text"))
 
-    narrow = stage(docs.select(number.alias("doc"), tag.alias("tag"), F.unhex(digest).alias("digest"), F.octet_length(body).cast("long").alias("size")), "digests")
+    narrow = dealt.select("doc", "tag", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"), F.octet_length("text").cast("long").alias("size"))
+    narrow = stage(narrow, "digests")
     total = narrow.agg(F.sum("size")).first()[0] or 0
     n = max(int(total) // BUCKET_BYTES, 16)
     earliest = narrow.groupBy(F.col("digest").alias("_digest")).agg(F.min("doc").alias("_least"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     copies = narrow.join(earliest, F.col("digest") == F.col("_digest")).filter(F.col("doc") > F.col("_least"))
     copies = copies.select(F.col("doc").alias("c_doc"), F.col("tag").alias("c_tag")).distinct()
-    is_copy = (F.col("doc") == F.col("c_doc")) & (F.col("tag") == F.col("c_tag"))
-
-    def in_order(df: DataFrame) -> DataFrame:
-        # tasks that run again must see the same rows together
-        return df.sortWithinPartitions("doc", "tag")
 
-    sent = in_order(dealt.join(copies, is_copy, "left_anti")).select("doc", "tag", "text").mapInArrow(requests(n), sql_schema(REQUEST))
+    sent = dealt.mapInArrow(requests(n), sql_schema(REQUEST))
     settled = sent.groupBy("bucket").applyInArrow(settle(n), sql_schema(REPLY))
-    settled = settled.groupBy("part").applyInArrow(per_document(1), sql_schema(PER_DOC))
-    settled = stage(settled, "settled")
-
-    asked = dealt.join(settled, (F.col("doc") == F.col("r_doc")) & (F.col("tag") == F.col("r_tag")))
-    strings = in_order(asked).select("doc", "tag", "text", "keys", "states").mapInArrow(contexts(n), sql_schema(STRINGS))
+    settled = stage(settled.groupBy("part").applyInArrow(per_document(1), sql_schema(PER_DOC)), "settled")
+
+    dealt = dealt.repartition(max(n, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "doc", "tag")
+    answered = (F.col("doc") == F.col("r_doc")) & (F.col("tag") == F.col("r_tag"))
+    asked = dealt.join(settled, answered, "left")
+    # tasks that run again must see the same rows together
+    strings = asked.select("doc", "tag", "text", "keys", "states").sortWithinPartitions("doc", "tag")
+    strings = strings.mapInArrow(contexts(n), sql_schema(STRINGS))
     masks = strings.groupBy("bucket").applyInArrow(compare(n), sql_schema(REPLY))
     masks = masks.groupBy("part").applyInArrow(per_document(4), sql_schema(PER_DOC))
-    masks = stage(masks, "masks").select(F.col("r_doc").alias("m_doc"), F.col("r_tag").alias("m_tag"), F.col("keys").alias("m_keys"), F.col("states").alias("masks"))
+    masks = masks.select(F.col("r_doc").alias("m_doc"), F.col("r_tag").alias("m_tag"), F.col("keys").alias("m_keys"), F.col("states").alias("masks"))
 
-    joined = dealt.join(settled, (F.col("doc") == F.col("r_doc")) & (F.col("tag") == F.col("r_tag")), "left")
+    joined = dealt.join(settled, answered, "left")
     joined = joined.join(masks, (F.col("doc") == F.col("m_doc")) & (F.col("tag") == F.col("m_tag")), "left")
-    joined = joined.join(copies, is_copy, "left")
-    joined = joined.select("doc", "tag", "text", "doc_id", "keys", "states", "m_keys", "masks", F.col("c_doc").isNotNull().alias("copy"))
+    joined = joined.join(copies, (F.col("doc") == F.col("c_doc")) & (F.col("tag") == F.col("c_tag")), "left")
+    joined = joined.select("doc", "tag", "text", "keys", "states", "m_keys", "masks", F.col("c_doc").isNotNull().alias("copy"))
     return joined.mapInArrow(cutter, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
