@@ -37,8 +37,8 @@ OFFSETS = WINDOW - GRAM + 1  # places of the gram in a window
 SIDE = OFFSETS - 1  # bytes of context on either side
 CONTEXT = GRAM + 2 * SIDE
 BLOCK = 1 << 17  # positions hashed together
-BUCKET_BYTES = 16 << 20  # text whose anchors share a bucket, on average
-HELD = 1_500_000  # entries a task holds before it sends them
+BUCKET_BYTES = 8 << 20  # text whose anchors share a bucket, on average
+HELD = 400_000  # entries a task holds before it sends them
 LAST = (1 << 63) - 1  # a null id comes after all others
 FULL, NEED = 1, 2
 TAG = 3  # bytes of a text's tag: 16 bits of its checksum, and a bit for a null id
@@ -380,7 +380,7 @@ def contexts(n_buckets: int):
             string = found.data[np.clip(around, 0, len(found.data) - 1)]
             held.append((docs[owner], tags[owner], gram[pick], context[pick], (left << 8 | right).astype(np.uint64), string))
             size += len(pick)
-            if size >= HELD // 8:
+            if size >= HELD // 10:
                 yield send(held)
                 held, size = [], 0
         if size:
