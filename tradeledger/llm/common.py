@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Texts of at most so many bytes are handled together inside a task (a longer text alone).
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,7 +60,8 @@ def map_texts(
     ``replace_text`` the first list is the new text. Rows stay in place: nothing is shuffled, and an Arrow batch is cut into chunks of
     bounded bytes.
     """
-    keep = list(df.columns) if keep is None else keep
+    made = {f.name.lower() for f in fields}
+    keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in made]
     more = [col(c).alias(f"__in{i}") for i, c in enumerate(inputs or [])]
     source = df.select(*[col(c) for c in keep], col(text).cast("string").alias("__text"), *more)
     schema = T.StructType([*source.schema.fields[: len(keep)], *fields])

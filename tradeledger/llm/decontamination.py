@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeledger.llm.common import col, map_texts, ragged
+from tradeledger.llm.common import col, free_name, map_texts, ragged
 from tradeledger.session import stage
 
 WINDOW = 10
@@ -303,8 +303,11 @@ def find_benchmark(
     item without words has none. Null texts have no words. A null item id reads as an empty
     string; items of one id are one item. An empty benchmark finds nothing.
     """
-    keep = list(docs.columns) if keep is None else keep
     fields = [T.StructField("n_words", T.LongType()), T.StructField("spans", SPANS), T.StructField("items", ITEMS)]
+    made = [f.name for f in fields]  # a kept column of such a name is left out
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in made]
+    body = free_name(docs, "body")
+    docs, text = docs.select(*[col(c) for c in keep], col(text).alias(body)), body
     context = docs.sparkSession.sparkContext
     found = None
     for block in blocks(benchmark, window, block_words):
@@ -321,9 +324,9 @@ def find_benchmark(
             return step
 
         if found is None:
-            found = map_texts(docs, text, fields, make, list(dict.fromkeys([*keep, text])))
+            found = map_texts(docs, text, fields, make, [*keep, text])
         else:  # the next block adds to what earlier ones found
-            found = map_texts(stage(found, "decontamination"), text, fields, make, list(dict.fromkeys([*keep, text])), inputs=["spans", "items"])
+            found = map_texts(stage(found, "decontamination"), text, fields, make, [*keep, text], inputs=["spans", "items"])
     if found is None:
         empty = lambda: lambda texts: [[len(words_of(t)) for t in texts], [[] for _ in texts], [[] for _ in texts]]
         found = map_texts(docs, text, fields, empty, keep)

@@ -24,6 +24,8 @@ from tradeledger.llm.common import col
 #: A block has BLOCK words and begins every STRIDE words: any STRIDE + 1 words lie within one.
 BLOCK, STRIDE = 64, 32
 THRESHOLD = 0.8
+#: Result columns; a kept column of such a name is left out.
+MADE = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -111,7 +113,7 @@ def scan(
     longest = max(len(t.words) for t in templates)
     if longest > STRIDE + 1:
         raise ValueError(f"a template has more than {STRIDE + 1} words")
-    keep = list(docs.columns) if keep is None else keep
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in MADE]
     rows = docs.select(F.struct(*[col(c) for c in keep]).alias("_row"), words(col(text).cast("string")).alias("_words"))
     order = global_order(rows, templates)
     prefixes = prefix_rows(docs.sparkSession, templates, order, threshold)

@@ -21,6 +21,8 @@ from tradeledger.session import stage
 
 #: A plan has one row per source; more sources than this are joined without a broadcast.
 BROADCAST_SOURCES = 10_000
+#: Result columns; a kept column of such a name is left out.
+MADE = ("size", "source_size", "target", "copies", "taken")
 
 
 def words(text: Column) -> Column:
@@ -101,9 +103,10 @@ def mix(
 
     copies is how often the mix repeats the document, at most ``max_epochs``. The draw depends
     on seed, id and text alone, so reruns agree. Null and empty texts have size 0 and are
-    never drawn; null sources are one source, the last. An empty table gives no rows.
+    never drawn; null sources are one source, the last. An empty table gives no rows. Rows
+    alike in id and text are drawn together.
     """
-    keep = list(docs.columns) if keep is None else keep
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in MADE]
     made = {"size": words(col(text)), "_key": draw_key(col(doc_id), col(text), seed), "_from": col(source)}
     sized = docs.select(F.struct(*[col(c) for c in keep]).alias("_row"), *[v.alias(k) for k, v in made.items()])
     # words are counted and keys made once for the plan, and once for the result

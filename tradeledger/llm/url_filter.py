@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeledger.llm.common import col, map_texts
+from tradeledger.llm.common import col, free_name, map_texts
 
 #: Symbol 0 pads the start, 1 is any digit, 2 any other character.
 SYMBOLS = "^0*abcdefghijklmnopqrstuvwxyz/.-_?=&%#:+~"
@@ -45,6 +45,8 @@ RULES = (
     HostRule("block", "example.com", "/de/"),
     HostRule("allow", "org", "/fr/"),
 )
+#: Result columns; a kept column of such a name is left out.
+MADE = ("host", "path", "rule", "verdict", "url_score", "threshold")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -140,7 +142,7 @@ class UrlModel:
         """Mean ratio per byte, rounded to 12 digits; 0 for an empty url."""
         if not url:
             return 0.0
-        return round(float(self.ratio[gram_codes(url)].sum() / len(url)), 12)
+        return round(float(self.ratio[gram_codes(url)].sum(dtype=np.float64) / len(url)), 12)
 
 
 def fit(urls: DataFrame, url: str, label: str) -> UrlModel:
@@ -157,7 +159,7 @@ def fit(urls: DataFrame, url: str, label: str) -> UrlModel:
         found = [(r["gram"], r["n"]) for r in rows if r["label"] == kind]
         cells = np.array(found, np.int64).reshape(-1, 2)
         logs[kind] = log_probabilities(cells[:, 0], cells[:, 1])
-    model = UrlModel((logs["allow"] - logs["block"]).astype(np.float64))
+    model = UrlModel((logs["allow"] - logs["block"]).astype(np.float32))
     scored = with_scores(folds.filter("_fold = 3"), url, model, [label])
     cells = scored.groupBy(col(label).alias("label"), F.floor(F.col("url_score") * 100).alias("bin")).count().collect()
     bins = sorted({r["bin"] for r in cells})
@@ -190,15 +192,14 @@ def filter_urls(pages: DataFrame, url: str = "url", rules: tuple[HostRule, ...]
     is allowed if its score reaches the threshold. Null urls have empty host and path and
     score 0. Repeated rows are judged alike; an empty table gives an empty result.
     """
-    keep = list(pages.columns) if keep is None else keep
-    host, path = host_and_path(col(url))
+    keep = [c for c in (pages.columns if keep is None else keep) if c.lower() not in MADE]
+    address = free_name(pages, "address")
+    pages = pages.select(*[col(c) for c in keep], col(url).cast("string").alias(address))
+    host, path = host_and_path(F.col(address))
     rule, verdict = matched_rule(F.col("host"), F.col("path"), rules)
-    judged = pages.select(col(url).cast("string").alias("_url")).withColumns({"host": host_and_path(F.col("_url"))[0], "path": host_and_path(F.col("_url"))[1]})
-    model = fit(judged.select("_url", verdict.alias("_kind")), "_url", "_kind")
-    scored = with_scores(pages, url, model, list(dict.fromkeys([*keep, url])))
-    scored = scored.withColumns({"host": host, "path": path})
+    judged = pages.select(F.col(address).alias("url"), host.alias("host"), path.alias("path"))
+    model = fit(judged.select("url", verdict.alias("kind")), "url", "kind")
+    scored = with_scores(pages, address, model, [*keep, address]).withColumns({"host": host, "path": path})
     scored = scored.withColumns({"rule": rule, "verdict": verdict, "threshold": F.lit(model.threshold)})
     method = F.when(F.col("url_score") >= F.col("threshold"), "allow").otherwise("block")
-    return scored.withColumn("verdict", F.coalesce("verdict", method)).select(
-        *[col(c) for c in keep], "host", "path", "rule", "verdict", "url_score", "threshold"
-    )
+    return scored.withColumn("verdict", F.coalesce("verdict", method)).select(*[col(c) for c in keep], *MADE)
