@@ -54,6 +54,20 @@ def test_equals_window_by_window(spark):
     assert sum(bool(g[2]) for g in got) > 50
 
 
+def test_hot_grams_are_dealt_out(spark):
+    rng = random.Random(8)
+    line = "this very popular line stands in most of the documents, word by word, as it is"
+    rows = []
+    for i in range(300):
+        around = ["".join(rng.choices("abcdef ", k=rng.randrange(0, 60))) for _ in range(2)]
+        rows.append((i, around[0] + line[rng.choice((0, 0, 0, 5)) :] + around[1], "", "", 0))
+    df = documents(spark, rows).repartition(4)
+    dealt = df.selectExpr("doc_id as doc", "0 as tag", "text")
+    assert len(sd.hot_grams(dealt, 300)) > 1
+    got = found(sd.remove_repeats(df))
+    assert got == brute([r[:2] for r in rows]) and sum(bool(g[2]) for g in got) > 250
+
+
 def test_awkward_rows(spark):
     df = documents(spark, clashing=True)
     assert found(sd.remove_repeats(df)) == brute([(r["doc_id"], r["text"]) for r in df.collect()])

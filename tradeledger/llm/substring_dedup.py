@@ -13,6 +13,10 @@ that can have elected it. Three passes over the texts, which are dealt out once:
    are equal where 50 symbols are common, and the smallest document of a run has them first.
 3. Marked windows are cut out of the texts.
 
+A gram that many documents have amid other text (the edges of a popular line) would gather in
+one bucket. Such hot grams are listed from a sample; their contexts are dealt out by context,
+and in the second pass their windows by hash, the smallest document of each task only.
+
 Copies of a context within a task are settled before they are sent, so that a popular text or
 passage is one entry per task in its bucket and not one per document; what is settled goes to
 buckets by document. Whole copies of an earlier document are found by their digest.
@@ -39,6 +43,8 @@ CONTEXT = GRAM + 2 * SIDE
 BLOCK = 1 << 17  # positions hashed together
 BUCKET_BYTES = 8 << 20  # text whose anchors share a bucket, on average
 HELD = 400_000  # entries a task holds before it sends them
+#: A gram is hot if at least this share of the sampled documents has it in contexts of their own.
+HOT_SHARE, HOT_SAMPLE, HOT_LEAST, HOT_MOST = 0.01, 4000, 32, 10_000
 LAST = (1 << 63) - 1  # a null id comes after all others
 FULL, NEED = 1, 2
 TAG = 3  # bytes of a text's tag: 16 bits of its checksum, and a bit for a null id
@@ -105,6 +111,18 @@ class Texts:
         spread[0::2], spread[1::2] = SIDE, sizes
         return cls(data, start, end, np.repeat(owned, spread))
 
+    def windows_of(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(index into ``place``, offset, 64-bit hash) of all windows around the given anchors."""
+        which = np.repeat(np.arange(len(place)), OFFSETS)
+        offset = np.tile(np.arange(OFFSETS), len(place))
+        start = place[which] - SIDE + offset
+        ok = (start >= 0) & (self.last[start] >= start + WINDOW)
+        which, offset, start = which[ok], offset[ok], start[ok]
+        value = np.zeros(len(start), np.uint64)
+        for k in range(WINDOW):
+            value = value * np.uint64(BASE) + self.data[start + k].astype(np.uint64) + np.uint64(1)
+        return which, offset, mixed(value)
+
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Positions of the anchors of all windows, hashes of their grams and of their contexts (48 bits)."""
         places, grams, contexts = [], [], []
@@ -188,7 +206,7 @@ def batches_of(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
 
 REQUEST = pa.schema([("bucket", pa.int64())] + [(n, pa.binary()) for n in ("docs", "tags", "grams", "contexts", "done_docs", "done_tags", "done_contexts")])
 REPLY = pa.schema([("part", pa.int64())] + [(n, pa.binary()) for n in ("docs", "tags", "contexts", "states")])
-STRINGS = pa.schema([("bucket", pa.int64())] + [(n, pa.binary()) for n in ("docs", "tags", "grams", "contexts", "sides", "strings")])
+STRINGS = pa.schema([("bucket", pa.int64())] + [(n, pa.binary()) for n in ("docs", "tags", "grams", "contexts", "sides", "strings", "done_docs", "done_tags", "done_contexts", "done_masks")])
 
 
 def sql_schema(schema: pa.Schema) -> str:
@@ -196,8 +214,38 @@ def sql_schema(schema: pa.Schema) -> str:
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
-def requests(n_buckets: int):
-    """Pass 1: (doc, tag, text) to hashes by bucket."""
+def is_hot(gram: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Whether each gram is in the sorted list ``hot``."""
+    if not len(hot):
+        return np.zeros(len(gram), bool)
+    return hot[np.minimum(np.searchsorted(hot, gram), len(hot) - 1)] == gram
+
+
+def sample_contexts(batches):
+    """(gram, context) of each anchor, once per chunk."""
+    for _, _, texts, _ in read(batches):
+        _, gram, context = Texts.of(texts).anchors()
+        pairs = np.unique(np.column_stack([gram, context]), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, i].astype(np.uint64).view(np.int64)) for i in (0, 1)], names=["gram", "context"])
+
+
+def hot_grams(dealt: DataFrame, rows: int) -> np.ndarray:
+    """Sorted grams that many documents have amid other text, such as the edges of a popular line.
+
+    Counted on a sample of about HOT_SAMPLE texts, drawn by their checksum; at most HOT_MOST. The
+    list only decides where a gram's contexts are compared, never what comes out.
+    """
+    limit = min(HOT_SAMPLE * NO_ID // max(rows, 1), NO_ID - 1)
+    sample = dealt.filter(F.col("tag").bitwiseAND(NO_ID - 1) <= limit)
+    pairs = sample.select("doc", "tag", "text").mapInArrow(sample_contexts, "gram long, context long").distinct()
+    counts = pairs.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    least = max(HOT_LEAST, int(HOT_SHARE * min(rows, HOT_SAMPLE)))
+    found = counts.filter(F.col("n") >= least).orderBy(F.desc("n"), "gram").limit(HOT_MOST).collect()
+    return np.sort(np.array([r["gram"] for r in found], np.int64).view(np.uint64))
+
+
+def requests(n_buckets: int, hot: np.ndarray):
+    """Pass 1: (doc, tag, text) to hashes by bucket; a hot gram's contexts go to buckets of their own."""
 
     def send(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         doc, tag, gram, context = (np.concatenate(x) for x in zip(*held))
@@ -209,6 +257,8 @@ def requests(n_buckets: int):
         done = doc > doc[first]  # an earlier document here has the same context
         again = ~new & ~done  # the same document once more
         bucket = ((gram >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64)
+        lone = is_hot(gram, hot)
+        bucket[lone] = n_buckets + ((mixed(context[lone]) >> np.uint64(8)) % np.uint64(n_buckets)).astype(np.int64)
         bucket[done] = spread(doc[done], n_buckets)
         rows = []
         use = np.flatnonzero(~again)
@@ -252,9 +302,13 @@ def read(batches) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes], list[li
 
 
 def settle(n_parts: int):
-    """Bucket of pass 1: which anchors repeat as a whole, and which contexts must be compared."""
+    """Bucket of pass 1: which anchors repeat as a whole, and which contexts must be compared.
 
-    def run(table: pa.Table) -> pa.Table:
+    Of a hot gram (buckets from ``n_parts`` on) all first contexts are compared.
+    """
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        hot = key[0].as_py() >= n_parts
         doc, tag = gathered_docs(table), gathered(table, "tags", TAG)
         gram, context = gathered(table, "grams", 4), gathered(table, "contexts", 6)
         order = np.lexsort((tag, doc, context, gram))
@@ -272,6 +326,7 @@ def settle(n_parts: int):
             full = doc > first
             open_ = np.zeros(len(starts), bool)
             open_[of[~full & (doc > least)]] = True
+            open_ |= hot
             state[full] = FULL
             state[~full & open_[of]] = NEED
         use = state > 0
@@ -306,6 +361,11 @@ def per_document(state_size: int):
         context, state = gathered(table, "contexts", 6), gathered(table, "states", state_size)
         order = np.lexsort((state, context, tag, doc))
         doc, tag, context, state = doc[order], tag[order], context[order], state[order]
+        if len(doc):  # a context may be answered in several buckets
+            new = np.ones(len(doc), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (context[1:] != context[:-1])
+            state = np.bitwise_or.reduceat(state, np.flatnonzero(new))
+            doc, tag, context = doc[new], tag[new], context[new]
         cuts = np.flatnonzero((np.diff(doc) != 0) | (np.diff(tag.astype(np.int64)) != 0)) + 1
         rows = [
             {"r_doc": int(doc[p[0]]), "r_tag": int(tag[p[0]]), "keys": planes(context[p], 6), "states": planes(state[p], state_size)}
@@ -345,8 +405,30 @@ def pieces(chunk):
         yield docs[a:b], tags[a:b], texts[a:b], [m[a:b] for m in more]
 
 
-def contexts(n_buckets: int):
-    """Pass 2: the bytes of the contexts that must be compared."""
+def contexts(n_buckets: int, hot: np.ndarray):
+    """Pass 2: the bytes of the contexts that must be compared, and the hashes of a hot gram's windows."""
+
+    def send_windows(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        """Each window goes to a bucket by its hash, for the smallest document here; others are settled."""
+        doc, tag, context, offset, window = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((offset, context, tag, doc, window))
+        doc, tag, context, offset, window = doc[order], tag[order], context[order], offset[order], window[order]
+        new = np.ones(len(doc), bool)
+        new[1:] = window[1:] != window[:-1]
+        done = doc > doc[np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))]
+        bucket = n_buckets + (window % np.uint64(n_buckets)).astype(np.int64)
+        bucket[done] = n_buckets + spread(doc[done], n_buckets)
+        rows = []
+        for number, part in cut(bucket):
+            own, settled = part[~done[part]], part[done[part]]
+            own, settled = own[np.argsort(doc[own], kind="stable")], settled[np.argsort(doc[settled], kind="stable")]
+            rows.append({
+                "bucket": number, "docs": rising(doc[own]), "tags": planes(tag[own], TAG), "contexts": planes(context[own], 6),
+                "sides": planes(offset[own].astype(np.uint64), 2), "grams": planes(window[own], 8), "strings": b"",
+                "done_docs": rising(doc[settled]), "done_tags": planes(tag[settled], TAG), "done_contexts": planes(context[settled], 6),
+                "done_masks": planes(np.uint64(1) << offset[settled].astype(np.uint64), 4),
+            })
+        return batches_of(rows, STRINGS)
 
     def send(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         doc, tag, gram, context, side, string = (np.concatenate(x) for x in zip(*held))
@@ -356,11 +438,12 @@ def contexts(n_buckets: int):
             rows.append({
                 "bucket": number, "docs": rising(doc[part]), "tags": planes(tag[part], TAG), "grams": planes(gram[part], 4),
                 "contexts": planes(context[part], 6), "sides": planes(side[part], 2), "strings": string[part].tobytes(),
+                "done_docs": b"", "done_tags": b"", "done_contexts": b"", "done_masks": b"",
             })
         return batches_of(rows, STRINGS)
 
     def run(batches):
-        held, size = [], 0
+        held, size, hot_held, hot_size = [], 0, [], 0
         for docs, tags, texts, (keys, states) in (p for c in read(batches) for p in pieces(c)):
             use = [i for i, x in enumerate(states) if x and NEED in x]
             if not use:
@@ -373,6 +456,16 @@ def contexts(n_buckets: int):
             owner = found.owner(place[pick])
             # each context of a document once
             pick = pick[np.unique(owner.astype(np.uint64) << np.uint64(48) | context[pick], return_index=True)[1]]
+            lone = is_hot(gram[pick], hot)
+            apart, pick = pick[lone], pick[~lone]
+            if len(apart):
+                owner = found.owner(place[apart])
+                which, offset, window = found.windows_of(place[apart])
+                hot_held.append((docs[owner][which], tags[owner][which], context[apart][which], offset, window))
+                hot_size += len(which)
+                if hot_size >= HELD:
+                    yield send_windows(hot_held)
+                    hot_held, hot_size = [], 0
             owner, at = found.owner(place[pick]), place[pick]
             left = np.minimum(at - found.start[owner], SIDE)
             right = np.minimum(found.end[owner] - at - GRAM, SIDE)
@@ -385,14 +478,37 @@ def contexts(n_buckets: int):
                 held, size = [], 0
         if size:
             yield send(held)
+        if hot_size:
+            yield send_windows(hot_held)
 
     return run
 
 
+def compare_windows(table: pa.Table, n_parts: int) -> pa.Table:
+    """Bucket of a hot gram's windows: the smallest document of each hash has it first."""
+    doc, tag, context = gathered_docs(table), gathered(table, "tags", TAG), gathered(table, "contexts", 6)
+    offset, window = gathered(table, "sides", 2), gathered(table, "grams", 8)
+    order = np.lexsort((doc, window))
+    first = np.ones(len(order), bool)
+    first[1:] = window[order][1:] != window[order][:-1]
+    least = doc[order][np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
+    use = order[doc[order] > least]
+    return replies(
+        np.concatenate([doc[use], gathered_docs(table, "done_docs")]),
+        np.concatenate([tag[use], gathered(table, "done_tags", TAG)]),
+        np.concatenate([context[use], gathered(table, "done_contexts", 6)]),
+        np.concatenate([np.uint64(1) << offset[use], gathered(table, "done_masks", 4)]),
+        4,
+        n_parts,
+    )
+
+
 def compare(n_parts: int):
     """Bucket of pass 2: windows that an earlier document has, by columns."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        if key[0].as_py() >= n_parts:
+            return compare_windows(table, n_parts)
         doc, tag = gathered_docs(table), gathered(table, "tags", TAG)
         gram, context, side = gathered(table, "grams", 4), gathered(table, "contexts", 6), gathered(table, "sides", 2).astype(np.int64)
         string = np.concatenate([np.frombuffer(x, np.uint8).reshape(-1, CONTEXT) for x in table.column("strings").to_pylist()])
@@ -485,7 +601,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     copies = narrow.join(earliest, F.col("digest") == F.col("_digest")).filter(F.col("doc") > F.col("_least"))
     copies = copies.select(F.col("doc").alias("c_doc"), F.col("tag").alias("c_tag")).distinct()
 
-    sent = dealt.mapInArrow(requests(n), sql_schema(REQUEST))
+    hot = hot_grams(dealt, narrow.count())
+    sent = dealt.mapInArrow(requests(n, hot), sql_schema(REQUEST))
     settled = sent.groupBy("bucket").applyInArrow(settle(n), sql_schema(REPLY))
     settled = stage(settled.groupBy("part").applyInArrow(per_document(1), sql_schema(PER_DOC)), "settled")
 
@@ -494,7 +611,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     asked = dealt.join(settled, answered, "left")
     # tasks that run again must see the same rows together
     strings = asked.select("doc", "tag", "text", "keys", "states").sortWithinPartitions("doc", "tag")
-    strings = strings.mapInArrow(contexts(n), sql_schema(STRINGS))
+    strings = strings.mapInArrow(contexts(n, hot), sql_schema(STRINGS))
     masks = strings.groupBy("bucket").applyInArrow(compare(n), sql_schema(REPLY))
     masks = masks.groupBy("part").applyInArrow(per_document(4), sql_schema(PER_DOC))
     masks = masks.select(F.col("r_doc").alias("m_doc"), F.col("r_tag").alias("m_tag"), F.col("keys").alias("m_keys"), F.col("states").alias("masks"))
