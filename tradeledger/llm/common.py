@@ -32,6 +32,11 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def safe_names(df: DataFrame) -> DataFrame:
+    """``df`` with columns _c0, _c1, ... that clash with nothing an operator adds."""
+    return df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+
+
 def chunks(texts: list[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of about ``limit`` bytes."""
     start = size = 0
@@ -63,7 +68,11 @@ def map_texts(
     made = {f.name.lower() for f in fields}
     keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in made]
     more = [col(c).alias(f"__in{i}") for i, c in enumerate(inputs or [])]
-    source = df.select(*[col(c) for c in keep], col(text).cast("string").alias("__text"), *more)
+    # a kept text is sent to Python once
+    own = keep.index(text) if text in keep and isinstance(df.schema[text].dataType, T.StringType) else len(keep)
+    sent = [] if own < len(keep) else [col(text).cast("string").alias("__text")]
+    source = df.select(*[col(c) for c in keep], *sent, *more)
+    begin = len(keep) + len(sent)
     schema = T.StructType([*source.schema.fields[: len(keep)], *fields])
     arrow = to_arrow_schema(schema)
     at = keep.index(text) if replace_text else -1
@@ -72,8 +81,8 @@ def map_texts(
     def run(batches):
         step = make()
         for batch in batches:
-            texts = batch.column(len(keep)).cast(pa.binary()).to_pylist()
-            others = [batch.column(len(keep) + 1 + i).to_pylist() for i in range(n_inputs)]
+            texts = batch.column(own).cast(pa.binary()).to_pylist()
+            others = [batch.column(begin + i).to_pylist() for i in range(n_inputs)]
             for a, b in chunks(texts):
                 values = step(texts[a:b], *[o[a:b] for o in others])
                 columns = [batch.column(i).slice(a, b - a) for i in range(len(keep))]

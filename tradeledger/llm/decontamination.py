@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeledger.llm.common import col, free_name, map_texts, ragged
+from tradeledger.llm.common import col, free_name, map_texts, ragged, safe_names
 from tradeledger.session import stage
 
 WINDOW = 10
@@ -306,8 +306,10 @@ def find_benchmark(
     fields = [T.StructField("n_words", T.LongType()), T.StructField("spans", SPANS), T.StructField("items", ITEMS)]
     made = [f.name for f in fields]  # a kept column of such a name is left out
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in made]
-    body = free_name(docs, "body")
-    docs, text = docs.select(*[col(c) for c in keep], col(text).alias(body)), body
+    if text not in keep:
+        body = free_name(docs, "body")
+        docs, text = docs.select(*[col(c) for c in keep], col(text).alias(body)), body
+    carried = list(dict.fromkeys([*keep, text]))
     context = docs.sparkSession.sparkContext
     found = None
     for block in blocks(benchmark, window, block_words):
@@ -324,9 +326,9 @@ def find_benchmark(
             return step
 
         if found is None:
-            found = map_texts(docs, text, fields, make, [*keep, text])
+            found = map_texts(docs, text, fields, make, carried)
         else:  # the next block adds to what earlier ones found
-            found = map_texts(stage(found, "decontamination"), text, fields, make, [*keep, text], inputs=["spans", "items"])
+            found = map_texts(stage(found, "decontamination"), text, fields, make, carried, inputs=["spans", "items"])
     if found is None:
         empty = lambda: lambda texts: [[len(words_of(t)) for t in texts], [[] for _ in texts], [[] for _ in texts]]
         found = map_texts(docs, text, fields, empty, keep)
@@ -348,8 +350,9 @@ def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def remove_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with every hit span cut out of its text; rows without one stay as they are."""
-    row = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("_row"), col(text).cast("string").alias("_text"))
-    found = find_benchmark(row, benchmark, "_text", None, window, block_words)
+    plain = safe_names(docs)
+    body = plain.columns[docs.columns.index(text)]
+    found = find_benchmark(plain, benchmark, body, None, window, block_words)
 
     def make():
         def step(texts, spans):
@@ -357,5 +360,4 @@ def remove_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text",
 
         return step
 
-    done = map_texts(found, "_text", [], make, ["_row", "_text"], replace_text=True, inputs=["spans"])
-    return done.select(*[F.col("_text").alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in docs.columns])
+    return map_texts(found, body, [], make, plain.columns, replace_text=True, inputs=["spans"]).toDF(*docs.columns)
