@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeledger.llm import decontamination, line_crf, mixing, pseudonyms, queries, simhash
-from tradeledger.llm.common import col, free_name, table
+from tradeledger.llm.common import col, free_name, safe_names, table
 from tradeledger.session import stage
 
 #: Fixed by the contract of the near-duplicate stage.
@@ -28,11 +28,10 @@ def with_length(docs: DataFrame) -> DataFrame:
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier rejects go."""
-    names = list(docs.columns)
-    row, text = free_name(docs, "row"), free_name(docs, "body")
-    packed = docs.select(F.struct(*[col(c) for c in names]).alias(row), col("text").alias(text))
-    scored = line_crf.classify(packed, queries.trained_crf(spark, sf_dir), text, [row])
-    return scored.filter(F.col("score") >= queries.GOOD_SCORE).select(f"{row}.*")
+    plain = safe_names(docs)
+    body = plain.columns[docs.columns.index("text")]
+    scored = line_crf.classify(plain, queries.trained_crf(spark, sf_dir), body)
+    return scored.filter(F.col("score") >= queries.GOOD_SCORE).select(*plain.columns).toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,11 +46,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal numbers, dates and addresses are replaced in the texts."""
-    names = list(docs.columns)
-    row, text = free_name(docs, "row"), free_name(docs, "body")
-    packed = docs.select(F.struct(*[col(c) for c in names]).alias(row), col("text").alias(text))
-    done = pseudonyms.pseudonymise(packed, queries.DEMO_KEY, text, [row, text])
-    return with_length(done.select(*[F.col(text).alias(c) if c == "text" else F.col(row).getField(c).alias(c) for c in names]))
+    plain = safe_names(docs)
+    body = plain.columns[docs.columns.index("text")]
+    done = pseudonyms.pseudonymise(plain, queries.DEMO_KEY, body)
+    return with_length(done.select(*plain.columns).toDF(*docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
