@@ -38,6 +38,13 @@ def test_formats_and_checks_hold():
     assert ps.iban_check("DE", account[4:]) == int(account[2:4])
 
 
+def test_unassigned_areas_count_with_a_country_code():
+    there, back = both()
+    made, counts = there.text("+1 (017) 555-7713 and 017 555 7713")
+    assert counts["phone"] == 1 and made.endswith(" and 017 555 7713") and made[4:7] != "017"
+    assert ps.unassigned(ps.digits_of(made)[1:11]) and back.text(made)[0] == "+1 (017) 555-7713 and 017 555 7713"
+
+
 def test_invalid_values_stay():
     text = "4191085147143419 999.1.1.1 2021-02-29 000-12-3456 DE00370400440532013000 1.2.3.4.5 12345 v2.0 a@b 13/13/2020"
     assert both()[0].text(text) == (text, dict.fromkeys(ps.KINDS, 0))

@@ -86,6 +86,11 @@ def card(value: str, net: Feistel, back: bool) -> str | None:
     return refill(value, head + str(luhn(head)))
 
 
+def unassigned(digits: str) -> bool:
+    """Area or exchange that the North American plan does not give out."""
+    return digits[0] in "01" or digits[3] in "01"
+
+
 def phone(value: str, net: Feistel, back: bool) -> str | None:
     d = digits_of(value)
     if value.startswith("+") and not d.startswith("1"):
@@ -94,8 +99,15 @@ def phone(value: str, net: Feistel, back: bool) -> str | None:
         rest = d[3:]  # two digits of country and the first of the area stay
         return refill(value, d[:3] + str(net.permute(int(rest), 10 ** len(rest), b"tel" + d[:3].encode(), back)).zfill(len(rest)))
     own = d[1:] if len(d) == 11 and d[0] == "1" else d
-    if len(own) != 10 or own[0] in "01" or own[3] in "01":
+    if len(own) != 10:
         return None
+    if unassigned(own):  # a number all the same, where the country code says so
+        if not value.startswith("+"):
+            return None
+        at = net.permute(int(own), 10**10, b"tel1", back)
+        while not unassigned(f"{at:010d}"):
+            at = net.permute(at, 10**10, b"tel1", back)
+        return refill(value, f"1{at:010d}")
     at = (int(own[:3]) - 200) * 8_000_000 + (int(own[3:6]) - 200) * 10_000 + int(own[6:])
     at = net.permute(at, 800 * 8_000_000, b"nanp", back)
     made = f"{at // 8_000_000 + 200}{at // 10_000 % 800 + 200}{at % 10_000:04d}"
