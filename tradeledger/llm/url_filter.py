@@ -153,12 +153,10 @@ def fit(urls: DataFrame, url: str, label: str) -> UrlModel:
     in steps of 0.01. Without urls of both kinds it is 0.
     """
     folds = urls.filter(F.col(label).isNotNull()).withColumn("_fold", F.pmod(F.xxhash64(col(url)), F.lit(4)))
-    rows = gram_counts(folds.filter("_fold <> 3"), url, label).collect()  # bounded by the alphabet
-    logs = {}
-    for kind in ("allow", "block"):
-        found = [(r["gram"], r["n"]) for r in rows if r["label"] == kind]
-        cells = np.array(found, np.int64).reshape(-1, 2)
-        logs[kind] = log_probabilities(cells[:, 0], cells[:, 1])
+    # collected as columns: at most len(SYMBOLS) ** (ORDER + 1) cells of 17 bytes a model
+    cells = gram_counts(folds.filter("_fold <> 3"), url, label).select((F.col("label") == "allow").alias("allow"), "gram", "n").toArrow()
+    allow, gram, n = (cells[name].to_numpy() for name in ("allow", "gram", "n"))
+    logs = {kind: log_probabilities(gram[allow == own], n[allow == own]) for kind, own in (("allow", True), ("block", False))}
     model = UrlModel((logs["allow"] - logs["block"]).astype(np.float32))
     scored = with_scores(folds.filter("_fold = 3"), url, model, [label])
     cells = scored.groupBy(col(label).alias("label"), F.floor(F.col("url_score") * 100).alias("bin")).count().collect()
