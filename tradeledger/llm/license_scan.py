@@ -24,6 +24,8 @@ from tradeledger.llm.common import col
 #: A block has BLOCK words and begins every STRIDE words: any STRIDE + 1 words lie within one.
 BLOCK, STRIDE = 64, 32
 THRESHOLD = 0.8
+#: Prefix rows of all templates are literals of the plan and broadcast; this is their bound.
+MOST_PREFIXES = 10_000
 #: Result columns; a kept column of such a name is left out.
 MADE = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -93,10 +95,14 @@ def prefix_rows(spark: SparkSession, templates: tuple[Template, ...], order: lis
         ordered = sorted(t.tokens, key=place.__getitem__)
         needed = t.needed(threshold)
         for i, word in enumerate(ordered[: len(ordered) - needed + 1]):
-            rows.append((word, number, t.label, t.phrase, t.words, ordered, i, needed))
-    return spark.createDataFrame(
-        rows, "token string, template int, label string, phrase boolean, template_words array<string>, ordered array<string>, place int, needed int"
-    )
+            values = {
+                "token": word, "template": number, "label": t.label, "phrase": t.phrase, "template_words": t.words, "ordered": ordered,
+                "place": i, "needed": needed,
+            }
+            rows.append(F.struct(*[F.lit(v).alias(name) for name, v in values.items()]))
+    if len(rows) > MOST_PREFIXES:
+        raise ValueError(f"the templates have more than {MOST_PREFIXES} prefix words")
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def scan(
@@ -136,7 +142,7 @@ def scan(
     first = F.size(F.array_intersect(F.slice("ordered", 1, F.col("place")), F.col("_held"))) == 0  # each pair once
     length = F.size("_held") >= F.col("needed")
     position = 1 + F.least(F.size("ordered") - F.col("place") - 1, F.size("_held") - F.col("_at") - 1) >= F.col("needed")
-    joined = probes.join(prefixes, (F.col("_token") == F.col("token")) & first & length & position, "left")
+    joined = probes.join(F.broadcast(prefixes), (F.col("_token") == F.col("token")) & first & length & position, "left")
 
     overlap = F.size(F.array_intersect("ordered", "_held"))
     matches = overlap >= F.col("needed")
