@@ -114,7 +114,28 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), "url", keep=["page_id"])
 
 
-@query("op6_suffix_dedup")
+REPEAT_SQL = """
+with d as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+windows as (
+  select r, doc_id, i, substring(h, 2 * i + 1, 100) as s from d, unnest(range(0, length(h) // 2 - 49)) t(i) where length(h) >= 100),
+shared as (select s, min(doc_id) as least from windows group by s having min(doc_id) < max(doc_id)),
+repeated as (select r, i from windows join shared using (s) where doc_id > least),
+opened as (select r, i, coalesce(i > lag(i) over (partition by r order by i) + 50, true) as fresh from repeated),
+numbered as (select r, i, sum(cast(fresh as int)) over (partition by r order by i) as span from opened),
+spans as (select r, min(i) as a, max(i) + 50 as b from numbered group by r, span),
+gaps as (select *, coalesce(lag(b) over (partition by r order by a), 0) as before from spans),
+cuts as (
+  select r, count(*) as n_spans, sum(b - a) as n_removed, max(b) as last,
+    string_agg(substring(h, 2 * before + 1, 2 * (a - before)), '' order by a) as front
+  from gaps join d using (r) group by r)
+select doc_id, cast(length(h) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+  cast(coalesce(n_spans, 0) as bigint) as n_spans,
+  sha256(unhex(coalesce(front, '') || substring(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from d left join cuts using (r)
+"""
+
+
+@query("op6_suffix_dedup", REPEAT_SQL)
 def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that an earlier one has in strings of 50."""
     found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
