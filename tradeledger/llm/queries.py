@@ -115,9 +115,12 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REPEAT_SQL = """
-with d as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
-windows as (
-  select r, doc_id, i, substring(h, 2 * i + 1, 100) as s from d, unnest(range(0, length(h) // 2 - 49)) t(i) where length(h) >= 100),
+with d as (
+  select row_number() over () as r, doc_id, encode(coalesce(text, '')) as t, hex(encode(coalesce(text, ''))) as h from documents),
+places as (
+  select r, doc_id, unnest(list_transform(range(0, length(h) // 2 - 49), lambda i: {'i': i, 's': md5_number(array_slice(t, i + 1, i + 50))})) as p
+  from d where length(h) >= 100),
+windows as (select r, doc_id, p.i as i, p.s as s from places),
 shared as (select s, min(doc_id) as least from windows group by s having min(doc_id) < max(doc_id)),
 repeated as (select r, i from windows join shared using (s) where doc_id > least),
 opened as (select r, i, coalesce(i > lag(i) over (partition by r order by i) + 50, true) as fresh from repeated),
