@@ -52,6 +52,29 @@ def test_awkward_rows(spark):
     assert ls.scan(documents(spark, [])).count() == 0
 
 
+def test_every_matching_block_is_found(spark):
+    rng = random.Random(9)
+    template = ls.TEMPLATES[1].words
+    rows = []
+    for i in range(30):
+        parts = [rng.choices(["lorem", "ipsum", "license", "file"], k=rng.randrange(0, 90)) + template[rng.randrange(0, 4) :] for _ in range(3)]
+        rows.append((i, " ".join(w for p in parts for w in p) + rng.choice(("", " cc by nc")), "en", "s", 1))
+    wanted = []
+    for doc_id, text, *_ in rows + [(99, None), (98, "")]:
+        w = words(text)
+        for at in range(0, len(w), ls.STRIDE):
+            block = w[at : at + ls.BLOCK]
+            for t in ls.BASE + ls.TEMPLATES:
+                held = len(set(block) & set(t.tokens))
+                inside = any(block[i : i + len(t.words)] == t.words for i in range(ls.STRIDE))
+                if inside if t.phrase else held >= t.needed(ls.THRESHOLD):
+                    wanted.append((doc_id, t.label, held / len(t.tokens), at, at + len(block) - 1))
+    df = documents(spark, [*rows, (99, None, "", "", 0), (98, "", "", "", 0)])
+    got = ls.matching_blocks(df, keep=["doc_id"])
+    assert sorted(map(tuple, got.collect())) == sorted(wanted) and len(wanted) > 30
+    assert ls.matching_blocks(documents(spark, clashing=True)).columns.count("share") == 1
+
+
 def test_filters_use_the_rarest_words(spark):
     df = documents(spark, [(i, "the license" if i else "mit", "", "", 0) for i in range(9)])
     order = ls.global_order(df.select(ls.words(df.text).alias("_words")), ls.BASE)

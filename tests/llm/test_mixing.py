@@ -60,6 +60,15 @@ def test_awkward_rows(spark):
     assert [(r["size"], r["target"], r["taken"]) for r in nothing] == [(0, 0.0, 0)] * 2
 
 
+def test_repeated_rows_are_the_copies(spark):
+    rows = [(i, "w " * (i % 7), "en", "abc"[i % 3], 0) for i in range(60)]
+    mixed = mixing.mix(documents(spark, rows), keep=["doc_id"]).withColumn("time", F.lit("own"))
+    copies = {r["doc_id"]: r["copies"] for r in mixed.collect() if r["copies"]}
+    out = mixing.repeated(mixed)
+    assert out.columns == mixed.columns
+    assert {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()} == copies
+
+
 def test_more_sources_than_are_broadcast(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
     df = documents(spark).withColumn("source", F.col("doc_id").cast("string"))

@@ -28,6 +28,7 @@ THRESHOLD = 0.8
 MOST_PREFIXES = 10_000
 #: Result columns; a kept column of such a name is left out.
 MADE = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+MADE_BLOCKS = ("label", "share", "first_word", "last_word")
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -105,21 +106,13 @@ def prefix_rows(spark: SparkSession, templates: tuple[Template, ...], order: lis
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def scan(
-    docs: DataFrame, templates: tuple[Template, ...] = BASE + TEMPLATES, threshold: float = THRESHOLD, text: str = "text",
-    keep: list[str] | None = None,
+def held_against(
+    docs: DataFrame, templates: tuple[Template, ...], threshold: float, text: str, keep: list[str],
 ) -> DataFrame:
-    """``keep`` columns with n_words, n_base, first_word, last_word, base_labels, labels and score.
-
-    n_base counts all places of phrases; first_word and last_word are their smallest and
-    largest start (null without one). labels has the phrases' labels and those of matching
-    templates; score is the largest containment of a label (1 for a phrase, 0 for none). Null
-    and empty texts have no words. Repeated rows each get their row.
-    """
+    """One row per block and template that pass the filters; a document's rows without a template keep it in the frame."""
     longest = max(len(t.words) for t in templates)
     if longest > STRIDE + 1:
         raise ValueError(f"a template has more than {STRIDE + 1} words")
-    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in MADE]
     rows = docs.select(F.struct(*[col(c) for c in keep]).alias("_row"), words(col(text).cast("string")).alias("_words"))
     order = global_order(rows, templates)
     prefixes = prefix_rows(docs.sparkSession, templates, order, threshold)
@@ -151,10 +144,42 @@ def scan(
         lambda s: F.slice(F.col("_block.words"), s + 1, F.size("template_words")) == F.col("template_words"),
     )
     starts = F.transform(starts, lambda s: F.col("_block.number") * STRIDE + s)
-    checked = joined.select(
-        "_id", "_row", "n_words", "label", "phrase", F.coalesce(matches, F.lit(False)).alias("_match"),
+    return joined.select(
+        "_id", "_row", "n_words", F.col("_block.number").alias("_number"), "label", "phrase", F.coalesce(matches, F.lit(False)).alias("_match"),
         (overlap / F.size("ordered")).alias("_share"), F.when(F.col("phrase") & matches, starts).alias("_starts"),
     )
+
+
+def matching_blocks(
+    docs: DataFrame, templates: tuple[Template, ...] = BASE + TEMPLATES, threshold: float = THRESHOLD, text: str = "text",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """The join itself: ``keep`` columns with label, share, first_word and last_word of every matching block.
+
+    Words count from 0; share is the part of the template's words that the block holds. A
+    phrase matches where its words stand consecutively, with share 1. Documents without a
+    match (null and empty texts among them) have no row, repeated ones their own rows.
+    """
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in MADE_BLOCKS]
+    found = held_against(docs, templates, threshold, text, keep).filter("_match and (not phrase or size(_starts) > 0)")
+    begin = F.col("_number").cast("long") * STRIDE
+    last = F.least(begin + BLOCK, F.col("n_words")) - 1
+    return found.select("_row.*", "label", F.col("_share").alias("share"), begin.alias("first_word"), last.alias("last_word"))
+
+
+def scan(
+    docs: DataFrame, templates: tuple[Template, ...] = BASE + TEMPLATES, threshold: float = THRESHOLD, text: str = "text",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """``keep`` columns with n_words, n_base, first_word, last_word, base_labels, labels and score.
+
+    n_base counts all places of phrases; first_word and last_word are their smallest and
+    largest start (null without one). labels has the phrases' labels and those of matching
+    templates; score is the largest containment of a label (1 for a phrase, 0 for none). Null
+    and empty texts have no words. Repeated rows each get their row.
+    """
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in MADE]
+    checked = held_against(docs, templates, threshold, text, keep)
     base = F.size("_starts") > 0
     template = F.col("_match") & ~F.col("phrase")
     found = checked.groupBy("_id").agg(

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tradeledger.llm.common import col
+from tradeledger.llm.common import col, free_name
 from tradeledger.operators.ordered import running_total
 from tradeledger.session import stage
 
@@ -119,3 +119,10 @@ def mix(
     return joined.select(
         "_row.*", "size", "source_size", "target", F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).cast("long").alias("copies"),
     ).withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def repeated(mixed: DataFrame) -> DataFrame:
+    """The mixed corpus: every row of :func:`mix` as often as it is taken; rows of 0 copies go."""
+    names = mixed.columns
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias(free_name(mixed, "time"))
+    return mixed.filter("copies > 0").select(*[col(c) for c in names], times).select(*[col(c) for c in names])
