@@ -155,6 +155,29 @@ def _(spark, root):
     return privacy.classify_columns(load(spark, root, "documents"))
 
 
+CUSTOMER = {
+    c: (dtype, "personal_data", "Column name indicates personal data.") if c == "c_name" else (dtype, "non_personal", PLAIN)
+    for c, dtype in (
+        ("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"), ("c_acctbal", "double"), ("c_mktsegment", "string"),
+    )
+}
+COUNTED = "\nunion all\n".join(
+    f"select '{c}' as column_name, count(*) filter ({c} is null) / count(*) * 100 as null_pct, "
+    f"count(distinct {c}) + max(case when {c} is null then 1 else 0 end) as distinct_count from customer"
+    for c in CUSTOMER
+)
+
+
+@query(
+    "column_catalog",
+    f"select column_name, dtype, round(null_pct, 2) as null_pct, cast(distinct_count as bigint) as distinct_count, lgpd_classification, "
+    f"risk_level, recommended_action, reason from ({COUNTED}) join ({_classification_sql('customer', CUSTOMER)}) using (column_name)",
+)
+def _(spark, root):
+    customers = load(spark, root, "customer")
+    return catalog.column_catalog(customers, privacy.classify_columns(customers))
+
+
 @query(
     "privacy_actions_applied",
     r"""

@@ -374,12 +374,6 @@ def _(spark, root):
     return catalog.zone_rollup(_assets(spark, root))
 
 
-@query("column_catalog")
-def _(spark, root):
-    customers = load(spark, root, "customer")
-    return catalog.column_catalog(customers, privacy.classify_columns(customers))
-
-
 @query(
     "column_catalog_search",
     """

@@ -199,7 +199,58 @@ def _(spark, root):
     return ck.future_date_checks(commerce(spark, root).orders, AS_OF).drop("recommendation", "rule_source")
 
 
-@query("table_quality_checks")
+ORDER_COLUMNS = COLUMNS["raw_orders"].split()
+
+
+def _listed(condition: str) -> str:
+    """Names of the columns of raw_orders for which the aggregate ``condition`` holds."""
+    return "concat_ws(', ', " + ", ".join(f"case when {condition.format(c=c)} then '{c}' end" for c in ORDER_COLUMNS) + ")"
+
+
+TABLE_CHECKS = [
+    # name, severity, columns, affected rows, advice, source, relation
+    (
+        "high_null_columns_over_30pct", "high", _listed("count(*) filter ({c} is null) * 100 > 30 * count(*)"),
+        "case when cols <> '' then total else 0 end", "Review source completeness.", "built_in", "raw_orders",
+    ),
+    (
+        "duplicate_rows", "high", "''", "total - max(different)", "Remove duplicates and validate the grain.", "built_in",
+        "raw_orders, (select count(*) as different from (select distinct * from raw_orders))",
+    ),
+    (
+        "constant_columns", "medium", _listed("count(distinct {c}) + max(case when {c} is null then 1 else 0 end) <= 1"),
+        "case when cols <> '' then total else 0 end", "Drop or review constant columns.", "built_in", "raw_orders",
+    ),
+    *(
+        (
+            f"future_dates__{c}", "medium", f"'{c}'", f"count(*) filter ({c} > timestamp '{AS_OF}')",
+            "Correct reference dates or check time zones.", "built_in", "raw_orders",
+        )
+        for c in ORDER_COLUMNS
+        if "date" in c or "timestamp" in c or c.endswith("_at")
+    ),
+    (
+        "status_allowed", "medium", "'order_status'",
+        "count(*) filter (not coalesce(order_status in ('delivered', 'shipped', 'processing'), false))",
+        "Review data quality issue.", "contract", "raw_orders",
+    ),
+]
+
+
+def _table_check_sql(name, severity, columns, affected, advice, source, relation) -> str:
+    found = affected.replace("cols", f"({columns})").replace("total", "count(*)")
+    return (
+        f"select '{name}' as check_name, case when m > 0 then 'FAIL' else 'PASS' end as status, "
+        f"case when m > 0 then '{severity}' else 'low' end as severity, c as affected_columns, cast(m as bigint) as affected_rows, "
+        f"'{advice}' as recommendation, '{source}' as rule_source from (select {columns} as c, {found} as m from {relation})"
+    )
+
+
+@query(
+    "table_quality_checks",
+    "\nunion all\n".join(_table_check_sql(*check) for check in TABLE_CHECKS)
+    + "\nunion all select 'absent_column_fails', 'FAIL', 'high', 'customer_email', 0, 'Review data quality issue.', 'contract'",
+)
 def _(spark, root):
     return ck.table_quality_checks(commerce(spark, root).orders, AS_OF, ORDER_RULES)
 
