@@ -445,7 +445,20 @@ def _(spark, root):
     return gv.freshness_check(times, "2024-02-01 12:00:00").drop("details")
 
 
-@query("alert_payload")
+@query(
+    "alert_payload",
+    """
+select '{"source":"published_layer_monitoring","environment":"prod","status":"' || case when count(*) > 0 then 'FAIL' else 'PASS' end
+  || '","failed_checks":' || count(*) || ',"max_severity":"'
+  || case when bool_or(severity = 'high') then 'high' when bool_or(severity = 'medium') then 'medium' else 'low' end
+  || '","results":[' || coalesce(string_agg(
+    '{"check_name":"' || check_name || '","status":"FAIL","metric_value":' || metric_value || ',"threshold":' || threshold
+    || ',"severity":"' || severity || '","details":"'
+    || case check_name when 'published_primary_key_duplicates' then 'grain: order_id, order_item_id' else '' end || '"}',
+    ',' order by check_name), '') || ']}' as payload
+from monitoring where status = 'FAIL'
+""",
+)
 def _(spark, root):
     return gv.alert_payload(gv.monitor_published(published(spark, root), 50_000))
 
