@@ -1,5 +1,6 @@
 import hashlib
 import random
+import zlib
 
 import numpy as np
 from helpers import documents
@@ -75,6 +76,20 @@ def test_awkward_rows(spark):
     assert found(sd.remove_repeats(documents(spark, [(1, None, "", "", 0), (2, "", "", "", 0)]))) == [(1, 0, (), b""), (2, 0, (), b"")]
 
 
+def test_equal_tags_are_no_copies(spark):
+    by_tag = {}
+    for i in range(100_000):
+        text = hashlib.sha256(str(i).encode()).hexdigest()
+        other = by_tag.setdefault(zlib.crc32(text.encode()) & (sd.NO_ID - 1), text)
+        if other != text:
+            break
+    for own in (None, 7):  # null ids, and one id on two rows
+        rows = [(1, other, "", "", 0), (own, other, "", "", 0), (own, text, "", "", 0)]
+        got = found(sd.remove_repeats(documents(spark, rows)))
+        assert got == brute([r[:2] for r in rows])
+        assert sorted(kept.decode() for i, _, _, kept in got if i == own) == ["", text]
+
+
 def test_registered_query_on_the_small_table(spark, root):
     got = {r["doc_id"]: tuple(r)[1:] for r in queries.repeated_bytes(spark, root).collect()}
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{root}/documents.parquet").collect()]

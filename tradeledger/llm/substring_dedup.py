@@ -599,7 +599,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     n = max(int(total) // BUCKET_BYTES, 16)
     earliest = narrow.groupBy(F.col("digest").alias("_digest")).agg(F.min("doc").alias("_least"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     copies = narrow.join(earliest, F.col("digest") == F.col("_digest")).filter(F.col("doc") > F.col("_least"))
-    copies = copies.select(F.col("doc").alias("c_doc"), F.col("tag").alias("c_tag")).distinct()
+    copies = copies.select(F.col("doc").alias("c_doc"), F.col("tag").alias("c_tag"), F.col("digest").alias("c_digest")).distinct()
 
     hot = hot_grams(dealt, narrow.count())
     sent = dealt.mapInArrow(requests(n, hot), sql_schema(REQUEST))
@@ -618,6 +618,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
     joined = dealt.join(settled, answered, "left")
     joined = joined.join(masks, (F.col("doc") == F.col("m_doc")) & (F.col("tag") == F.col("m_tag")), "left")
-    joined = joined.join(copies, (F.col("doc") == F.col("c_doc")) & (F.col("tag") == F.col("c_tag")), "left")
+    # a tag is not enough here: a row is a copy only if its own digest is. The digest is compared
+    # as a range, since as a third join key it would have the texts dealt out again
+    same = (F.col("digest") >= F.col("c_digest")) & (F.col("digest") <= F.col("c_digest"))
+    copied = (F.col("doc") == F.col("c_doc")) & (F.col("tag") == F.col("c_tag")) & same
+    joined = joined.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary")))).join(copies, copied, "left")
     joined = joined.select("doc", "tag", "text", "keys", "states", "m_keys", "masks", F.col("c_doc").isNotNull().alias("copy"))
     return joined.mapInArrow(cutter, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
