@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from helpers import documents
 
 from tradeledger.llm import column_bwt, queries
@@ -127,6 +128,27 @@ def test_column_wise_order_and_common_prefixes():
             assert common[k] == same
 
 
+def test_answers_of_one_id_are_dealt_over_many_parts():
+    n = 20_000
+    rng = np.random.default_rng(2)
+    tag = rng.integers(0, sd.NO_ID, n).astype(np.uint64) | np.uint64(sd.NO_ID)
+    doc, context, state = np.full(n, sd.LAST), rng.integers(0, 1 << 48, n).astype(np.uint64), np.ones(n, np.uint64)
+    table = sd.replies(doc, tag, context, state, 1, 64)
+    sizes = [len(x) for x in table.column("states").to_pylist()]
+    assert len(sizes) == 64 and sum(sizes) == n and max(sizes) < 2 * n / 64
+    parts = [set(sd.from_planes(x, sd.TAG).tolist()) for x in table.column("tags").to_pylist()]
+    assert sum(map(len, parts)) == len(set(tag.tolist()))  # rows alike in id and tag meet
+
+
+def test_settled_entries_of_one_id_are_dealt_over_many_buckets():
+    text = hashlib.sha512(b"passage").hexdigest()
+    docs, texts = [1] + [sd.LAST] * 400, [text] + [text + str(i) for i in range(400)]
+    tags = [0] + [sd.NO_ID | zlib.crc32(t.encode()) & (sd.NO_ID - 1) for t in texts[1:]]
+    batch = pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(tags, pa.int32()), pa.array(texts)], names=["doc", "tag", "text"])
+    rows = [r for b in sd.requests(16, np.zeros(0, np.uint64))([batch]) for r in b.to_pylist()]
+    assert sum(bool(r["done_docs"]) for r in rows) == 16
+
+
 def test_packing():
     rng = np.random.default_rng(5)
     values = rng.integers(0, 1 << 48, 100).astype(np.uint64)

@@ -19,7 +19,7 @@ and in the second pass their windows by hash, the smallest document of each task
 
 Copies of a context within a task are settled before they are sent, so that a popular text or
 passage is one entry per task in its bucket and not one per document; what is settled goes to
-buckets by document. Whole copies of an earlier document are found by their digest.
+buckets by document and tag. Whole copies of an earlier document are found by their digest.
 """
 
 from __future__ import annotations
@@ -178,8 +178,9 @@ def from_rising(data: bytes) -> np.ndarray:
     return np.cumsum(from_planes(data, 8), dtype=np.uint64).view(np.int64)
 
 
-def spread(doc: np.ndarray, n: int) -> np.ndarray:
-    return (mixed(doc.astype(np.int64).view(np.uint64)) % np.uint64(n)).astype(np.int64)
+def spread(doc: np.ndarray, tag: np.ndarray, n: int) -> np.ndarray:
+    """Part of each row. The tag deals the rows of one id, or of no id, over many parts."""
+    return (mixed(mixed(doc.astype(np.int64).view(np.uint64)) + tag.astype(np.uint64)) % np.uint64(n)).astype(np.int64)
 
 
 def cut(number: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -259,7 +260,7 @@ def requests(n_buckets: int, hot: np.ndarray):
         bucket = ((gram >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64)
         lone = is_hot(gram, hot)
         bucket[lone] = n_buckets + ((mixed(context[lone]) >> np.uint64(8)) % np.uint64(n_buckets)).astype(np.int64)
-        bucket[done] = spread(doc[done], n_buckets)
+        bucket[done] = spread(doc[done], tag[done], n_buckets)
         rows = []
         use = np.flatnonzero(~again)
         for number, part in cut(bucket[use]):
@@ -341,7 +342,7 @@ def settle(n_parts: int):
 
 def replies(doc: np.ndarray, tag: np.ndarray, context: np.ndarray, state: np.ndarray, state_size: int, n_parts: int) -> pa.Table:
     rows = []
-    for number, part in cut(spread(doc, n_parts)):
+    for number, part in cut(spread(doc, tag, n_parts)):
         part = part[np.argsort(doc[part], kind="stable")]
         rows.append({
             "part": number, "docs": rising(doc[part]), "tags": planes(tag[part], TAG), "contexts": planes(context[part], 6),
@@ -417,7 +418,7 @@ def contexts(n_buckets: int, hot: np.ndarray):
         new[1:] = window[1:] != window[:-1]
         done = doc > doc[np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))]
         bucket = n_buckets + (window % np.uint64(n_buckets)).astype(np.int64)
-        bucket[done] = n_buckets + spread(doc[done], n_buckets)
+        bucket[done] = n_buckets + spread(doc[done], tag[done], n_buckets)
         rows = []
         for number, part in cut(bucket):
             own, settled = part[~done[part]], part[done[part]]
