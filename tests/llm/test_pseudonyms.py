@@ -45,6 +45,44 @@ def test_unassigned_areas_count_with_a_country_code():
     assert ps.unassigned(ps.digits_of(made)[1:11]) and back.text(made)[0] == "+1 (017) 555-7713 and 017 555 7713"
 
 
+def test_valid_values_before_further_groups():
+    there, back = both()
+    cases = {
+        "ES91 2100 0418 4502 0005 1332 BIC CAIXESBB": ("iban", "0418"), "DE89 3704 0044 0532 0130 00 EUR": ("iban", "0044"),
+        "ES91 2100 0418 4502 0005 1332 IBAN 2024 X": ("iban", "0418"), "ES9121000418450200051332 BIC": ("iban", "0418450"),
+        "4111 1111 1111 1111 123": ("card", "1111 1111 1111"), "4111-1111-1111-1111 123 12/27": ("card", "1111-1111-1111"),
+        "3782 822463 10005": ("card", "822463"), "3782-822463-10005 1234": ("card", "822463"),
+        "me...ann@example.com": ("email", "ann@"), "so..ann.lee@example.com.": ("email", "ann.lee"),
+    }
+    for text, (kind, gone) in cases.items():
+        made, counts = there.text(f"a {text} b")
+        assert counts == dict.fromkeys(ps.KINDS, 0) | {kind: 1} and gone not in made, text
+        assert back.text(made)[0] == f"a {text} b"
+    assert there.text("me...ann@example.com")[0][5:] == there.text("ann@example.com")[0]  # equal values stay linked
+
+
+def test_a_group_behind_a_card_never_joins_its_pseudonym():
+    there, back = both()
+    for i in range(300):
+        head = f"4{i * 7919:014d}"
+        text = f"{head}{ps.luhn(head)} {i:03d}"
+        made, counts = there.text(text)
+        assert counts["card"] == 1 and back.text(made)[0] == text
+        assert made[:16] != text[:16]
+
+
+def test_both_dates_of_an_interval():
+    there, back = both()
+    for text in ("2024-05-01/2024-05-06", "01.05.2024-06.05.2024", "2024-05-01-2024-05-06", "05/21/2024-05/26/2024"):
+        made, counts = there.text(f"from {text}.")
+        first, second = text[:10], text[11:]
+        assert counts["date"] == 2 and first not in made and second not in made
+        assert made == f"from {there.text(first)[0]}{text[10]}{there.text(second)[0]}."
+        assert back.text(made)[0] == f"from {text}."
+    for text in ("12/2024-05-01", "1-2024-05-01", "2024-05-01-7", "2024-05-01/7", "1.2.2024.5"):
+        assert there.text(text) == (text, dict.fromkeys(ps.KINDS, 0))
+
+
 def test_invalid_values_stay():
     text = "4191085147143419 999.1.1.1 2021-02-29 000-12-3456 DE00370400440532013000 1.2.3.4.5 12345 v2.0 a@b 13/13/2020"
     assert both()[0].text(text) == (text, dict.fromkeys(ps.KINDS, 0))

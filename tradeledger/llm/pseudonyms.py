@@ -218,14 +218,16 @@ def email(value: str, net: Feistel, back: bool) -> str | None:
     return "".join(reversed(made)) + "." + top
 
 
+#: What a date looks like, for the other end of an interval without spaces.
+DATE_SHAPE = r"(?:[12][0-9]{3}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][12][0-9]{3})(?![0-9])"
 #: One pattern per kind. Bounded repeats keep the search linear in the text.
 PATTERNS: tuple[tuple[str, str], ...] = (
-    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"),
+    ("email", r"(?:(?<![A-Za-z0-9._%+-])|(?<=\.\.)(?!\.))(?:[A-Za-z0-9_%+-]|\.(?!\.)){1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
-    ("date", r"(?<![0-9./-])(?:[12][0-9]{3}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[12][0-9]{3})(?![0-9]|[./-][0-9])"),
+    ("date", r"(?:(?<![0-9./-])|(?<=[0-9][/-]))(?:[12][0-9]{3}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[12][0-9]{3})(?:(?![0-9]|[./-][0-9])|(?=[/-]" + DATE_SHAPE + "))"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     ("ip", r"(?<![0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9]|\.[0-9])"),
-    ("card", r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,4}(?:[ -]?[0-9]{3})?(?![0-9])"),
+    ("card", r"(?<![0-9])[0-9]{4}(?:(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,4}(?:[ -]?[0-9]{3})?|[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9])"),
     ("phone", r"(?<![0-9+])\+[0-9][0-9 ().-]{6,20}[0-9](?![0-9])|(?<![0-9(])\(?[2-9][0-9]{2}\)?[ .-][2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"),
 )
 MAKERS: dict[str, Callable[[str, Feistel, bool], str | None]] = {
@@ -247,6 +249,9 @@ def combined() -> re.Pattern:
 
 
 FINDER = combined()
+#: Kinds of several groups: what follows may look like one more.
+GROUPED = {kind: re.compile(pattern) for kind, pattern in PATTERNS if kind in ("iban", "card")}
+DATE_BEFORE = re.compile(r"(?<![0-9./-])" + DATE_SHAPE + r"[/-]\Z")
 #: Every value holds a digit or an @: only their surroundings are searched. A value begins at most
 #: BEFORE characters before its first one and ends at most so many behind its last one.
 TRIGGER = re.compile(r"[0-9]+|@")
@@ -280,6 +285,24 @@ class Pseudonymiser:
             self.memory[at] = MAKERS[kind](value, self.net, self.back)
         return self.memory[at]
 
+    def shorter(self, kind: str, value: str) -> tuple[int, str] | None:
+        """(length, pseudonym) of the longest valid value that ``value``, not valid itself, begins with.
+
+        What follows must not make a longer valid value with the pseudonym either, or it would be
+        read back wrongly: such pseudonyms are walked over.
+        """
+        longer = [len(value)]
+        for end in range(len(value) - 1, 0, -1):
+            if value[end] not in " -" or not GROUPED[kind].fullmatch(value, 0, end):
+                continue
+            made = self.value(kind, value[:end])
+            if made is not None:
+                while any(self.value(kind, made + value[end:e]) is not None for e in longer):
+                    made = self.value(kind, made)
+                return end, made
+            longer.append(end)
+        return None
+
     def text(self, text: str) -> tuple[str, dict[str, int]]:
         counts = dict.fromkeys(KINDS, 0)
         parts, end = [], 0
@@ -288,7 +311,11 @@ class Pseudonymiser:
             at = max(end - a, 0)
             while m := FINDER.search(part, at):
                 kind = kind_of(m)
-                made = self.value(kind, m.group())
+                made, stop = self.value(kind, m.group()), m.end()
+                if kind == "date" and part[m.start() - 1 : m.start()] in ("/", "-") and not DATE_BEFORE.search(part[max(m.start() - 12, 0) : m.start()]):
+                    made = None  # neither alone nor the end of an interval
+                if made is None and kind in GROUPED and (found := self.shorter(kind, m.group())):
+                    stop, made = m.start() + found[0], found[1]
                 if made is None:  # not valid: look again behind the first word of it
                     at = m.start() + 1
                     while at < m.end() and part[at].isalnum():
@@ -296,7 +323,7 @@ class Pseudonymiser:
                     continue
                 counts[kind] += 1
                 parts += [text[end : a + m.start()], made]
-                at = m.end()
+                at = stop
                 end = a + at
         return "".join([*parts, text[end:]]) if parts else text, counts
 
@@ -309,7 +336,9 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", keep: list[str]
     """``keep`` columns (with the text replaced in place) and the number of values of each kind.
 
     Counts are n_card .. n_email (long). Values that fail validation (Luhn, check numbers,
-    calendar, ranges) stay as they are. Null texts stay null, texts without a value stay the
+    calendar, ranges) stay as they are. A card or account number with a group behind it that would
+    be part of a longer valid number with its pseudonym gets another pseudonym in that place; if
+    that group begins a value of its own, turning back can fail there. Null texts stay null, texts without a value stay the
     same. With ``back`` the pseudonyms are turned into the values again.
     """
     keep = list(docs.columns) if keep is None else keep
