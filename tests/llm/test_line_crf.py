@@ -3,6 +3,7 @@ import itertools
 import numpy as np
 import pytest
 from helpers import documents, labels, write
+from pyspark.sql import functions as F
 
 from tradeledger.llm import line_crf, queries
 
@@ -79,3 +80,27 @@ def test_awkward_rows(spark, tmp_path):
     assert queries.classified_documents(spark, folder).count() == 0
     model = line_crf.train([b"a"], [1])
     assert line_crf.classify(documents(spark, clashing=True), model).columns.count("score") == 1
+
+
+def sample_tables(spark, folder, sized):
+    """Documents in the order in which the sample takes them, of the given (bytes, label)."""
+    ids = spark.range(1, 200).selectExpr("id").filter(~queries.held_out("id")).orderBy(F.xxhash64("id"), "id").limit(len(sized))
+    ids = [r["id"] for r in ids.collect()]
+    docs = [(i, "x" * n, "en", "a", n) for i, (n, _) in zip(ids, sized)]
+    marks = [(i, label, 0) for i, (_, label) in zip(ids, sized)]
+    return write(spark, folder, documents=documents(spark, docs), labels=labels(spark, marks))
+
+
+def test_a_long_text_takes_nothing_from_the_sample(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "CRF_BYTES", 1000)
+    taken = []
+    monkeypatch.setattr(line_crf, "train", lambda texts, marks: taken.extend(zip(map(len, texts), marks)))
+    sized = [(300, 1), (5000, 1), (200, 0), (400, 1), (600, 0), (100, 0)]
+    queries.trained_crf(spark, sample_tables(spark, tmp_path / "long", sized))
+    assert sorted(taken) == [(100, 0), (200, 0), (300, 1), (400, 1)]
+
+
+def test_a_sample_without_one_of_the_labels_is_an_error(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "CRF_BYTES", 1000)
+    with pytest.raises(ValueError, match="lacks one of the labels"):
+        queries.trained_crf(spark, sample_tables(spark, tmp_path / "one", [(300, 1), (5000, 0), (400, 1)]))

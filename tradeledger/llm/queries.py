@@ -48,15 +48,26 @@ DEMO_KEY = "demonstration key"
 
 def trained_crf(spark: SparkSession, sf_dir: str, rows: int = CRF_SAMPLE) -> line_crf.Crf:
     """Fitted on labelled documents outside the held-out fold."""
-    sample = labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", rows)
-    # whole documents in the order of a hash, as far as the bound on bytes goes
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    sample = labelled_sample(docs, labels, "quality", rows)
+    # whole documents in the order of a hash, as far as the bound on bytes goes; one that is too
+    # long for what is left takes nothing from the others
     sizes = sample.select("doc_id", F.octet_length("text").alias("size")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()
-    total, ids = 0, []
+    by_id: dict[int, int] = {}
     for r in sizes:
-        total += r["size"] or 0
-        if total <= CRF_BYTES:
-            ids.append(r["doc_id"])
+        by_id[r["doc_id"]] = by_id.get(r["doc_id"], 0) + (r["size"] or 0)
+    total, ids = 0, []
+    for i, size in by_id.items():
+        if total + size <= CRF_BYTES:
+            total += size
+            ids.append(i)
     got = bounded_rows(sample.filter(F.col("doc_id").isin(ids)), rows)
+    if len({r["label"] for r in got}) < 2:  # would give every document the same score
+        usable = labels.select("doc_id", F.col("quality").cast("int").alias("label"))
+        usable = usable.filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~held_out("doc_id"))
+        usable = usable.groupBy("doc_id").agg(F.min("label").alias("label")).join(docs.select("doc_id"), "doc_id", "left_semi")
+        if usable.select("label").distinct().count() > 1:
+            raise ValueError(f"the classifier's sample ({len(got)} documents, at most {CRF_BYTES} bytes) lacks one of the labels")
     return line_crf.train([(r["text"] or "").encode() for r in got], [r["label"] for r in got])
 
 
