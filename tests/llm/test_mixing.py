@@ -1,4 +1,5 @@
 import random
+import re
 
 from helpers import RUN, documents
 from pyspark.sql import functions as F
@@ -74,3 +75,14 @@ def test_more_sources_than_are_broadcast(spark, monkeypatch):
     df = documents(spark).withColumn("source", F.col("doc_id").cast("string"))
     rows = mixing.mix(df, keep=["doc_id"]).collect()
     assert len(rows) == df.count()
+
+
+def test_no_window_holds_all_sources(spark):
+    sizes = {f"host{i:04d}": (i * 7919) % 1000 for i in range(2000)} | {None: 5}
+    got = mixing.water_fill(spark.createDataFrame(list(sizes.items()), "source string, source_size long"))
+    plan = got._jdf.queryExecution().analyzed().toString()
+    # windows lie inside range partitions, or over one row for each of these
+    assert not re.search(r"windowspecdefinition\((?!_part#|0, _part#)", plan)
+    wanted = fill(sizes)
+    targets = {r["source"]: r["target"] for r in got.collect()}
+    assert set(targets) == set(sizes) and all(abs(targets[k] - wanted[k]) < 1e-6 for k in sizes)

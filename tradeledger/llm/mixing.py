@@ -12,7 +12,6 @@ come first in a seeded order, up to the word at which the fraction is reached.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradeledger.llm.common import col, free_name
@@ -36,29 +35,30 @@ def water_fill(sources: DataFrame, max_epochs: int = 3, cycle: tuple[int, ...] =
     Weights repeat ``cycle`` over the sources by code point, null last; the budget is the sum
     of all sizes. Adds weight and target (double).
     """
-    by_name = W.orderBy(F.col("source").asc_nulls_last())
-    place = F.row_number().over(by_name) - 1
-    weight = F.element_at(F.array(*[F.lit(c) for c in cycle]), (place % len(cycle) + 1).cast("int"))
-    fills = W.orderBy(F.col("source_size") / F.col("weight"), F.col("source").asc_nulls_last())
-    before, after = fills.rowsBetween(W.unboundedPreceding, -1), fills.rowsBetween(0, W.unboundedFollowing)
-    everything = W.partitionBy()
+    name = F.col("source").asc_nulls_last()
+    numbered = running_total(sources.withColumn("_one", F.lit(1).cast("long")), [name], "_one", "_place")
+    weight = F.element_at(F.array(*[F.lit(c) for c in cycle]), ((F.col("_place") - 1) % len(cycle) + 1).cast("int"))
     cap = F.col("source_size") * max_epochs
     zero = F.lit(0).cast("long")
-    whole = sources.withColumn("weight", weight.cast("long")).select(
-        "source", "source_size", "weight",
-        F.sum("source_size").over(everything).alias("_budget"),
-        F.coalesce(F.sum(cap).over(before), zero).alias("_below"),
-        F.sum("weight").over(after).alias("_open"),
+    # in order of size over weight; sums by range partitions, however many sources there are
+    weighed = numbered.withColumn("weight", weight.cast("long")).withColumns({"_cap": cap, "_fill": F.col("source_size") / F.col("weight")})
+    fills = [F.col("_fill"), name]
+    summed = running_total(running_total(weighed, fills, "_cap", "_caps"), fills, "weight", "_upto")
+    sums = weighed.agg(F.sum("source_size").alias("_budget"), F.sum("weight").alias("_all"))
+    whole = summed.crossJoin(F.broadcast(sums)).select(
+        "source", "source_size", "weight", "_budget",
+        (F.col("_caps") - F.col("_cap")).alias("_below"),
+        (F.col("_all") - F.col("_upto") + F.col("weight")).alias("_open"),
     )
     wide = "decimal(38,0)"
     share = (F.col("_budget") - F.col("_below")).cast(wide) * F.col("weight").cast("decimal(9,0)")
     capped = whole.withColumn("_capped", share >= cap.cast(wide) * F.col("_open").cast("decimal(18,0)"))
     # the level of the rest, once the capped ones are full
-    level = W.partitionBy()
-    capped = capped.withColumns({
-        "_left": F.col("_budget") - F.sum(F.when(F.col("_capped"), cap).otherwise(zero)).over(level),
-        "_weights": F.sum(F.when(F.col("_capped"), zero).otherwise(F.col("weight"))).over(level),
-    })
+    rest = capped.agg(
+        (F.max("_budget") - F.sum(F.when(F.col("_capped"), cap).otherwise(zero))).alias("_left"),
+        F.sum(F.when(F.col("_capped"), zero).otherwise(F.col("weight"))).alias("_weights"),
+    )
+    capped = capped.crossJoin(F.broadcast(rest))
     filled = (F.col("_left") * F.col("weight")).cast("double") / F.col("_weights").cast("double")
     target = F.when(F.col("_capped"), cap.cast("double")).otherwise(filled)
     return capped.select("source", "source_size", "weight", target.alias("target"))
