@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeledger.llm import decontamination, license_scan, line_crf, mixing, pseudonyms, quality_rules, simhash, substring_dedup, token_counts, url_filter
+from tradeledger.llm import decontamination, license_scan, line_crf, mixing, pseudonyms, quality_rules, simhash, substring_dedup, token_alignment, token_counts, url_filter
 from tradeledger.llm.common import bounded_rows, held_out, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,6 +15,8 @@ ORACLE: dict[str, str] = {}
 
 #: Public vocabulary of the token counts; any ranks file will do.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: The two public tokenizers of the alignment; any byte-level BPE file and any sentence-piece model will do.
+TOKENIZER_A, TOKENIZER_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: Bounded samples that the learners are fitted on, in labelled documents.
 RULE_SAMPLE = 20_000
 CRF_SAMPLE, CRF_BYTES = 4_000, 24 << 20
@@ -234,3 +236,11 @@ def counted_tokens(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULAR
     """Longest-match tokens of every document."""
     automaton = token_counts.Automaton(*token_counts.byte_vocabulary(vocabulary))
     return token_counts.token_counts(table(spark, sf_dir, "documents"), automaton, "text", ["doc_id"])
+
+
+@query("op13_token_alignment")
+def aligned_tokens(spark: SparkSession, sf_dir: str, a_path: str = TOKENIZER_A, b_path: str = TOKENIZER_B) -> DataFrame:
+    """Groups and links of two tokenizers in every document."""
+    found = token_alignment.align(table(spark, sf_dir, "documents"), a_path, b_path, "text", ["doc_id"], digest=True)
+    counted = token_alignment.with_counts(found, token_alignment.pair_counts(found, a_path, b_path), a_path, b_path)
+    return counted.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
