@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeledger.llm import conversation_repair, decontamination, license_scan, line_crf, mixing, pseudonyms, quality_rules, simhash, substring_dedup, token_alignment, token_counts, url_filter
+from tradeledger.llm import conversation_repair, cross_polytope, decontamination, license_scan, line_crf, mixing, pseudonyms, quality_rules, simhash, substring_dedup, token_alignment, token_counts, url_filter
 from tradeledger.llm.common import bounded_rows, held_out, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -238,6 +238,12 @@ def counted_tokens(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULAR
     return token_counts.token_counts(table(spark, sf_dir, "documents"), automaton, "text", ["doc_id"])
 
 
+@query("op11_nearest_neighbours")
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every vector whose id is divisible by 100."""
+    return cross_polytope.neighbours(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
 @query("op12_conversation_repair", conversation_repair.oracle())
 def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and the cheapest repair of every conversation, after damage."""
