@@ -16,8 +16,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections import defaultdict
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -116,8 +117,7 @@ class Pair:
         if len(spelled) != len(entries) or None in made or made != sorted(made):
             raise ValueError(f"{a_path} is not a byte-level vocabulary whose ids follow its merges")
         self.fast = tiktoken.Encoding("a", pat_str=BYTE_LEVEL, mergeable_ranks=spelled, special_tokens={})
-        self.slow = tokenizers.Tokenizer.from_file(a_path)
-        self.slow.encode_special_tokens = True
+        self.a_path = a_path
         self.a_bytes = [b""] * (max(entries.values()) + 1)
         for t, i in spelled.items():
             self.a_bytes[i] = t
@@ -134,24 +134,33 @@ class Pair:
 
     def possible(self, usable: list[int]) -> np.ndarray:
         """Sorted keys of all id pairs in which one token's bytes end with the other's."""
-        by_a, by_b = defaultdict(list), defaultdict(list)
-        for i, t in enumerate(self.a_bytes):
-            by_a[t].append(i)
+        by_a = {t: i for i, t in enumerate(self.a_bytes) if t}
+        by_b = defaultdict(list)
         for i in usable:
             by_b[self.b_bytes[i]].append(i)
-        found = set()
-        for own, other, swap in ((by_a, by_b, False), (by_b, by_a, True)):
-            for t, ids in own.items():
-                for k in range(len(t)):
-                    for j in other.get(t[k:], ()):
-                        found.update((j, i) if swap else (i, j) for i in ids)
-        return np.array(sorted((a << 32) | b for a, b in found), np.int64)
+        found = array("q")
+        for t, a in by_a.items():
+            for k in range(len(t)):
+                found.extend((a << 32) | b for b in by_b.get(t[k:], ()))
+        for t, ids in by_b.items():
+            for k in range(1, len(t)):  # equal spellings are found above
+                a = by_a.get(t[k:])
+                if a is not None:
+                    found.extend((a << 32) | b for b in ids)
+        return np.unique(np.frombuffer(found, np.int64))
+
+    @cached_property
+    def slow(self) -> tokenizers.Tokenizer:
+        """Loaded only where a text has a long run of white space."""
+        made = tokenizers.Tokenizer.from_file(self.a_path)
+        made.encode_special_tokens = True
+        return made
 
     def links(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Place of each pair in ``keys``."""
         wanted = (a.astype(np.int64) << 32) | b
         at = np.searchsorted(self.keys, wanted)
-        if len(at) and (at[-1:] >= len(self.keys)).any() or (self.keys[np.minimum(at, len(self.keys) - 1)] != wanted).any():
+        if (self.keys[np.minimum(at, len(self.keys) - 1)] != wanted).any():
             raise ValueError("a link that the vocabularies cannot have")
         return at.astype(np.int32)
 
