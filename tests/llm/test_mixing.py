@@ -1,10 +1,11 @@
 import random
 import re
 
-from helpers import RUN, documents
+import duckdb
+from helpers import RUN, documents, write
 from pyspark.sql import functions as F
 
-from tradeledger.llm import mixing
+from tradeledger.llm import mixing, queries
 
 
 def fill(sizes, cap=3):
@@ -70,6 +71,22 @@ def test_repeated_rows_are_the_copies(spark):
     assert {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()} == copies
 
 
+def test_rows_alike_are_taken_in_part(spark, tmp_path):
+    """A thousand rows alike: the mix comes near the target, and the SQL agrees."""
+    rows = [(7, "ten words " * 5, "en", "s1", 0)] * 1000 + [(i, "w " * 9000, "en", f"s{2 + i % 2}", 0) for i in (1, 2)] + [(3, "a b", "en", "s2", 0)] * 5
+    docs = documents(spark, rows)
+    got = mixing.mix(docs, keep=["doc_id", "source"]).toPandas()
+    for _, part in got.groupby("source"):
+        assert abs(part.taken.sum() - part.target.iloc[0]) <= part["size"].max() / 2 + 1e-6
+    first = got[got.source == "s1"]
+    assert 0 < (first.copies == first.copies.min()).sum() < 1000 and first.copies.max() == first.copies.min() + 1
+    folder = write(spark, tmp_path, documents=docs)
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{folder}/documents.parquet/*.parquet')")
+    want = sorted(con.execute(queries.ORACLE["op8_mixing"]).fetchall())
+    assert sorted(tuple(r) for r in queries.QUERIES["op8_mixing"](spark, folder).collect()) == want
+
+
 def test_more_sources_than_are_broadcast(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
     df = documents(spark).withColumn("source", F.col("doc_id").cast("string"))

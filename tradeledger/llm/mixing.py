@@ -82,16 +82,18 @@ def mixing_plan(sized: DataFrame, max_epochs: int = 3, cycle: tuple[int, ...] =
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     plan = plan.withColumn("whole", epochs.cast("long"))
     plan = plan.withColumn("_part", F.col("target") - F.col("whole") * F.col("source_size"))
-    # rows alike share a key: they are drawn together
-    keyed = sized.filter("size > 0").groupBy("source", "_key").agg(F.sum("size").alias("_sum"))
+    # rows alike share a key: as many of them are drawn as come closest
+    keyed = sized.filter("size > 0").groupBy("source", "_key").agg(F.sum("size").alias("_sum"), F.count(F.lit(1)).alias("_n"))
     running = running_total(keyed, ["_key"], "_sum", "_upto", ["source"])
     plan = stage(plan, "mixing-targets")
     wanted = plan.select(F.col("source").alias("_source"), "_part")
     if plan.count() <= BROADCAST_SOURCES:
         wanted = F.broadcast(wanted)
     drawn = running.join(wanted, F.col("source").eqNullSafe(F.col("_source")))
-    drawn = drawn.filter(F.col("_upto") - F.col("_sum") / 2 <= F.col("_part"))
-    last = drawn.groupBy(F.col("source").alias("_source")).agg(F.max("_key").alias("_last"))
+    take = F.floor((F.col("_part") - (F.col("_upto") - F.col("_sum"))) * F.col("_n") / F.col("_sum") + 0.5)
+    drawn = drawn.withColumn("_take", take).filter("_take >= 1")
+    last = drawn.groupBy(F.col("source").alias("_source")).agg(F.max(F.struct("_key", "_take", "_n")).alias("_l"))
+    last = last.select("_source", F.col("_l._key").alias("_last"), F.least("_l._take", "_l._n").alias("_take"), (F.col("_l._take") < F.col("_l._n")).alias("_some"))
     return plan.join(last, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source", "_part")
 
 
@@ -103,8 +105,8 @@ def mix(
 
     copies is how often the mix repeats the document, at most ``max_epochs``. The draw depends
     on seed, id and text alone, so reruns agree. Null and empty texts have size 0 and are
-    never drawn; null sources are one source, the last. An empty table gives no rows. Rows
-    alike in id and text are drawn together.
+    never drawn; null sources are one source, the last. An empty table gives no rows. Of rows
+    alike in id and text at the end of the draw only some are drawn, whichever of them.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in MADE]
     made = {"size": words(col(text)), "_key": draw_key(col(doc_id), col(text), seed), "_from": col(source)}
@@ -114,8 +116,16 @@ def mix(
     plan = stage(mixing_plan(narrow, max_epochs, cycle), "mixing-plan")
     bounded = plan.count() <= BROADCAST_SOURCES
     joined = sized.join(F.broadcast(plan) if bounded else plan, F.col("_from").eqNullSafe(F.col("source")))
-    extra = F.when((F.col("size") > 0) & (F.col("_key") <= F.col("_last")), 1).otherwise(0)
-    copies = F.col("whole") + F.coalesce(extra, F.lit(0))
+    if plan.filter("_some").isEmpty():
+        joined = joined.withColumn("_drawn", F.coalesce(F.col("_key") <= F.col("_last"), F.lit(False)))
+    else:
+        # rows alike at the end of a draw are numbered, by ranges: a group may be very large
+        at_end = F.coalesce((F.col("_key") == F.col("_last")) & F.col("_some"), F.lit(False))
+        ends = stage(joined.filter(at_end), "mixing-ends").withColumns({"_id": F.monotonically_increasing_id(), "_one": F.lit(1).cast("long")})
+        ends = running_total(ends, ["_id"], "_one", "_place", ["_key"]).withColumn("_drawn", F.col("_place") <= F.col("_take"))
+        rest = joined.filter(~at_end).withColumn("_drawn", F.coalesce(F.col("_key") <= F.col("_last"), F.lit(False)))
+        joined = rest.unionByName(ends.drop("_id", "_one", "_place"))
+    copies = F.col("whole") + F.col("_drawn").cast("long")
     return joined.select(
         "_row.*", "size", "source_size", "target", F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).cast("long").alias("copies"),
     ).withColumn("taken", F.col("copies") * F.col("size"))
