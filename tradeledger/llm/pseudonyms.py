@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import ipaddress
 import re
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -114,6 +116,34 @@ def phone(value: str, net: Feistel, back: bool) -> str | None:
     return refill(value, d[: len(d) - 10] + made)
 
 
+def national(value: str, net: Feistel, back: bool) -> str | None:
+    """A trunk zero, an area and a number: 9 to 12 digits in groups."""
+    d = digits_of(value)
+    if not 9 <= len(d) <= 12:
+        return None
+    rest = d[2:]  # the zero and the first digit of the area stay
+    return refill(value, d[:2] + str(net.permute(int(rest), 10 ** len(rest), b"trunk" + d[:2].encode(), back)).zfill(len(rest)))
+
+
+def ip6(value: str, net: Feistel, back: bool) -> str | None:
+    """Hexadecimal digits are permuted in place; groups keep their lengths and ``::`` its place."""
+    try:
+        ipaddress.IPv6Address(value)
+    except ValueError:
+        return None
+    if not any(c.isdigit() for c in value):
+        return None  # two words
+    digits = value.replace(":", "")
+    at = int(digits, 16)
+    while True:
+        at = net.permute(at, 16 ** len(digits), b"ipv6%d" % len(digits), back)
+        made = f"{at:0{len(digits)}x}"
+        if any(c.isdigit() for c in made):
+            break
+    left = iter(made.upper() if value != value.lower() else made)
+    return "".join(c if c == ":" else next(left) for c in value)
+
+
 def ip(value: str, net: Feistel, back: bool) -> str | None:
     parts = value.split(".")
     if any(int(p) > 255 or (len(p) > 1 and p[0] == "0") for p in parts):
@@ -187,6 +217,45 @@ def date(value: str, net: Feistel, back: bool) -> str | None:
     return mark.join(made[x] for x in order)
 
 
+def short_date(value: str, net: Feistel, back: bool) -> str | None:
+    """A year of two digits is one from 2000 on."""
+    head, year = value[:-2], value[-2:]
+    made = date(f"{head}20{year}", net, back)
+    return made and made[:-4] + made[-2:]
+
+
+#: Names of the months by language. A name of several languages belongs to the first.
+MONTHS = {
+    "en": ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"),
+    "fr": ("janvier", "février", "mars", "avril", "mai", "juin", "juillet", "août", "septembre", "octobre", "novembre", "décembre"),
+    "de": ("januar", "februar", "märz", "april", "mai", "juni", "juli", "august", "september", "oktober", "november", "dezember"),
+    "es": ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre"),
+    "short": ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"),
+}
+MONTH_OF: dict[str, tuple[str, int]] = {}
+for _language, _names in MONTHS.items():
+    for _i, _name in enumerate(_names):
+        MONTH_OF.setdefault(_name, (_language, _i + 1))
+A_MONTH = "|".join(sorted(MONTH_OF, key=len, reverse=True))
+NAMED_DATE = re.compile(r"([0-9]{1,2}|[^\W\d_]+)(\W+(?:de )?)([0-9]{1,2}|[^\W\d_]+)(\W+(?:de )?)([0-9]{4})")
+
+
+def named_date(value: str, net: Feistel, back: bool) -> str | None:
+    """A month by its name, day or month first: 1 May 2024, May 1, 2024, 1. Mai 2024, 1 de mayo de 2024."""
+    first, gap, second, other, year = NAMED_DATE.fullmatch(value).groups()
+    word, number = (second, first) if first.isdigit() else (first, second)
+    language, month = MONTH_OF[word.lower()]
+    day = calendar_day(int(year), month, int(number), net, back)
+    while day is not None and MONTH_OF[MONTHS[language][day.month - 1]][0] != language:
+        day = calendar_day(day.year, day.month, day.day, net, back)  # a name that would be read in another language
+    if day is None:
+        return None
+    name = MONTHS[language][day.month - 1]
+    name = name.upper() if word.isupper() and len(word) > 1 else name.capitalize() if word[0].isupper() else name
+    made = (str(day.day), name) if first.isdigit() else (name, str(day.day))
+    return f"{made[0]}{gap}{made[1]}{other}{day.year:04d}"
+
+
 def slash_dmy(at: dict[str, int], net: Feistel, back: bool) -> str | None:
     """dd/mm/yyyy with a day over 12: walk on to the next such day of the permutation."""
     day = calendar_day(at["y"], at["m"], at["d"], net, back)
@@ -202,55 +271,78 @@ def email(value: str, net: Feistel, back: bool) -> str | None:
     if ".." in value or local[-1] == "." or not name:
         return None
     head = f"{local}@{name}"
-    sizes = [26 if c.isalpha() else 10 if c.isdigit() else 1 for c in head]
-    at = size = 0
+    classes = [letters_like(c) for c in head]
     at, size = 0, 1
-    for c, s in zip(head, sizes):
-        low = c.lower()
-        at = at * s + (ord(low) - 97 if s == 26 else int(c) if s == 10 else 0)
-        size *= s
-    shape = "".join("A" if c.isupper() else "a" if s == 26 else "9" if s == 10 else c for c, s in zip(head, sizes))
+    for c, own in zip(head, classes):
+        at = at * len(own) + own.index(c)
+        size *= len(own)
+    shape = "".join(own[0] for own in classes)
     at = net.permute(at, size, b"mail" + hashlib.blake2b(shape.encode(), digest_size=16).digest(), back)
     made: list[str] = []
-    for c, s in zip(reversed(head), reversed(sizes)):
-        at, d = divmod(at, s)
-        made.append((chr(97 + d).upper() if c.isupper() else chr(97 + d)) if s == 26 else str(d) if s == 10 else c)
+    for own in reversed(classes):
+        at, d = divmod(at, len(own))
+        made.append(own[d])
     return "".join(reversed(made)) + "." + top
 
 
+@lru_cache(maxsize=4096)
+def letters_like(c: str) -> str:
+    """What may stand for a character of a name: digits for a digit, letters of its case and neighbourhood for a letter."""
+    if "0" <= c <= "9":
+        return "0123456789"
+    if not c.isalpha():
+        return c
+    block = ord(c) // 128 * 128
+    return "".join(x for x in map(chr, range(block, block + 128)) if x.isalpha() and x.isupper() == c.isupper() and x.islower() == c.islower())
+
+
 #: What a date looks like, for the other end of an interval without spaces.
 DATE_SHAPE = r"(?:[12][0-9]{3}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][12][0-9]{3})(?![0-9])"
-#: One pattern per kind. Bounded repeats keep the search linear in the text.
+#: One pattern per format. Bounded repeats keep the search linear in the text.
 PATTERNS: tuple[tuple[str, str], ...] = (
-    ("email", r"(?:(?<![A-Za-z0-9._%+-])|(?<=\.\.)(?!\.))(?:[A-Za-z0-9_%+-]|\.(?!\.)){1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"),
+    ("email", r"(?:(?<![\w.%+\u0300-\u036f-])|(?<=\.\.)(?!\.))(?:[\w%+\u0300-\u036f-]|\.(?!\.)){1,64}@(?:[^\W_](?:[^\W_]|-){0,62}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     ("date", r"(?:(?<![0-9./-])|(?<=[0-9][/-]))(?:[12][0-9]{3}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[12][0-9]{3})(?:(?![0-9]|[./-][0-9])|(?=[/-]" + DATE_SHAPE + "))"),
+    ("short_date", r"(?<![0-9./-])[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}(?![0-9]|[./-][0-9])"),
+    ("named_date", rf"(?i:(?<!\w)(?:[0-9]{{1,2}}\.? (?:de )?(?:{A_MONTH})\.?(?: de)? |(?:{A_MONTH})\.? [0-9]{{1,2}},? )[12][0-9]{{3}}(?![0-9]))"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
+    ("ip6", r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])"),
     ("ip", r"(?<![0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9]|\.[0-9])"),
     ("card", r"(?<![0-9])[0-9]{4}(?:(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,4}(?:[ -]?[0-9]{3})?|[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9])"),
-    ("phone", r"(?<![0-9+])\+[0-9][0-9 ().-]{6,20}[0-9](?![0-9])|(?<![0-9(])\(?[2-9][0-9]{2}\)?[ .-][2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"),
+    ("phone", r"(?<![0-9+])\+[0-9][0-9 ().-]{6,20}[0-9](?![0-9])|(?<![0-9(])\(?[2-9][0-9]{2}(?:\)[ .-]?|[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"),
+    ("national", r"(?<![0-9+.,:/-])\(?0[1-9][0-9]{0,4}\)?(?:[ ./-][0-9]{2,8}){1,4}(?![0-9])"),
 )
 MAKERS: dict[str, Callable[[str, Feistel, bool], str | None]] = {
-    "card": card, "phone": phone, "ip": ip, "iban": iban, "ssn": ssn, "date": date, "email": email,
+    "card": card, "phone": phone, "national": national, "ip": ip, "ip6": ip6, "iban": iban, "ssn": ssn, "date": date,
+    "short_date": short_date, "named_date": named_date, "email": email,
 }
+#: Kind that the values of a format are counted as, where it has another name.
+KIND_OF = {"national": "phone", "ip6": "ip", "short_date": "date", "named_date": "date"}
 EXTRA = 2  # groups inside the date pattern
 
 
 def combined() -> re.Pattern:
-    """All kinds in one pattern; a kind's group is found by its name."""
+    """All formats in one pattern; a format's group is found by its name."""
     parts, groups = [], 0
-    for kind, pattern in PATTERNS:
+    for name, pattern in PATTERNS:
         groups += 1
-        if kind == "date":
+        if name == "date":
             pattern = pattern.replace(r"\1", rf"\{groups + 1}").replace(r"\2", rf"\{groups + 2}")
-        parts.append(f"(?P<{kind}>{pattern})")
-        groups += EXTRA if kind == "date" else 0
+        parts.append(f"(?P<{name}>{pattern})")
+        groups += EXTRA if name == "date" else 0
     return re.compile("|".join(parts))
 
 
 FINDER = combined()
-#: Kinds of several groups: what follows may look like one more.
-GROUPED = {kind: re.compile(pattern) for kind, pattern in PATTERNS if kind in ("iban", "card")}
+#: Formats of several groups: what follows may look like one more.
+GROUPED = {name: re.compile(pattern) for name, pattern in PATTERNS if name in ("iban", "card", "phone", "national")}
+#: Where a value begins inside a run of digit groups, the run ends before it.
+NEXT_VALUE = re.compile(
+    rf"[ (](?={DATE_SHAPE}|[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{2}}(?![0-9])|\+?\(?[0-9]{{3}}\)?[ .-][0-9]{{3}}[ .-][0-9]{{4}}(?![0-9])"
+    r"|[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,4}(?![0-9])|[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]))"
+)
+#: Put behind a pseudonym that would be read back together with what follows (fixed value, word joiner).
+MARK = "\u2060"
 DATE_BEFORE = re.compile(r"(?<![0-9./-])" + DATE_SHAPE + r"[/-]\Z")
 #: Every value holds a digit or an @: only their surroundings are searched. A value begins at most
 #: BEFORE characters before its first one and ends at most so many behind its last one.
@@ -277,32 +369,28 @@ class Pseudonymiser:
         self.net, self.back = Feistel(key), back
         self.memory: dict[tuple[str, str], str | None] = {}
 
-    def value(self, kind: str, value: str) -> str | None:
-        at = (kind, value)
+    def value(self, name: str, value: str) -> str | None:
+        at = (name, value)
         if at not in self.memory:
             if len(self.memory) >= MEMORY:
                 self.memory.clear()
-            self.memory[at] = MAKERS[kind](value, self.net, self.back)
+            self.memory[at] = MAKERS[name](value, self.net, self.back)
         return self.memory[at]
 
-    def shorter(self, kind: str, value: str) -> tuple[int, str] | None:
-        """(length, pseudonym) of the longest valid value that ``value``, not valid itself, begins with.
-
-        What follows must not make a longer valid value with the pseudonym either, or it would be
-        read back wrongly: such pseudonyms are walked over.
-        """
-        longer = [len(value)]
+    def shorter(self, name: str, value: str) -> tuple[int, str] | None:
+        """(length, pseudonym) of the longest valid value that ``value``, not valid as a whole, begins with."""
         for end in range(len(value) - 1, 0, -1):
-            if value[end] not in " -" or not GROUPED[kind].fullmatch(value, 0, end):
-                continue
-            made = self.value(kind, value[:end])
-            if made is not None:
-                while any(self.value(kind, made + value[end:e]) is not None for e in longer):
-                    made = self.value(kind, made)
-                return end, made
-            longer.append(end)
+            if value[end] in " ()./-" and GROUPED[name].fullmatch(value, 0, end):
+                made = self.value(name, value[:end])
+                if made is not None:
+                    return end, made
         return None
 
+    def joins(self, name: str, made: str, rest: str) -> bool:
+        """Whether a pseudonym makes a longer valid value with the groups behind it."""
+        ends = [e for e in range(1, len(rest) + 1) if e == len(rest) or rest[e] in " ()./-"]
+        return any(GROUPED[name].fullmatch(made + rest[:e]) and self.value(name, made + rest[:e]) is not None for e in ends)
+
     def text(self, text: str) -> tuple[str, dict[str, int]]:
         counts = dict.fromkeys(KINDS, 0)
         parts, end = [], 0
@@ -310,36 +398,47 @@ class Pseudonymiser:
             part = text[a:b]
             at = max(end - a, 0)
             while m := FINDER.search(part, at):
-                kind = kind_of(m)
-                made, stop = self.value(kind, m.group()), m.end()
-                if kind == "date" and part[m.start() - 1 : m.start()] in ("/", "-") and not DATE_BEFORE.search(part[max(m.start() - 12, 0) : m.start()]):
+                name, whole, stop = name_of(m), m.group(), m.end()
+                if name in ("phone", "national") and (cut := NEXT_VALUE.search(whole + part[stop : stop + 24], 1)) and cut.start() < len(whole):
+                    # another value begins inside the run of groups
+                    whole = whole[: cut.start()].rstrip(" ().-/") if GROUPED[name].fullmatch(whole[: cut.start()].rstrip(" ().-/")) else whole
+                    stop = m.start() + len(whole)
+                made = self.value(name, whole)
+                if name == "date" and part[m.start() - 1 : m.start()] in ("/", "-") and not DATE_BEFORE.search(part[max(m.start() - 12, 0) : m.start()]):
                     made = None  # neither alone nor the end of an interval
-                if made is None and kind in GROUPED and (found := self.shorter(kind, m.group())):
+                if made is None and name in GROUPED and (found := self.shorter(name, whole)):
                     stop, made = m.start() + found[0], found[1]
                 if made is None:  # not valid: look again behind the first word of it
                     at = m.start() + 1
                     while at < m.end() and part[at].isalnum():
                         at += 1
                     continue
-                counts[kind] += 1
+                counts[KIND_OF.get(name, name)] += 1
                 parts += [text[end : a + m.start()], made]
+                marked = part[stop : stop + 1] == MARK
+                if self.back:
+                    stop += marked
+                elif marked or name in ("iban", "card") and self.joins(name, made, m.group()[stop - m.start() :]):
+                    parts.append(MARK)
                 at = stop
                 end = a + at
         return "".join([*parts, text[end:]]) if parts else text, counts
 
 
-def kind_of(m: re.Match) -> str:
-    return next(k for k in KINDS if m.group(k) is not None)
+def name_of(m: re.Match) -> str:
+    return next(name for name, _ in PATTERNS if m.group(name) is not None)
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", keep: list[str] | None = None, back: bool = False) -> DataFrame:
     """``keep`` columns (with the text replaced in place) and the number of values of each kind.
 
     Counts are n_card .. n_email (long). Values that fail validation (Luhn, check numbers,
-    calendar, ranges) stay as they are. A card or account number with a group behind it that would
-    be part of a longer valid number with its pseudonym gets another pseudonym in that place; if
-    that group begins a value of its own, turning back can fail there. Null texts stay null, texts without a value stay the
-    same. With ``back`` the pseudonyms are turned into the values again.
+    calendar, ranges) stay as they are. Equal values get equal pseudonyms whatever stands around
+    them; where a card or account number's pseudonym would be read together with the group
+    behind it, a word joiner marks its end. Dates are written with two digits (day numbers beside
+    a month's name without a leading zero), addresses of version 6 in one case. Null texts stay null,
+    texts without a value stay the same. With ``back`` the pseudonyms are turned into the values again.
+    Not looked for: names, postal addresses, coordinates, hardware addresses, passport and tax numbers.
     """
     keep = list(docs.columns) if keep is None else keep
     secret = key.encode()
