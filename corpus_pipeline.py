@@ -45,10 +45,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal numbers, dates and addresses are replaced in the texts."""
+    """Personal numbers, dates and addresses are replaced in the texts, with the session's secret."""
     plain = safe_names(docs)
     body = plain.columns[docs.columns.index("text")]
-    done = pseudonyms.pseudonymise(plain, queries.DEMO_KEY, body)
+    done = pseudonyms.pseudonymise(plain, queries.pseudonym_key(spark), body)
     return with_length(done.select(*plain.columns).toDF(*docs.columns))
 
 

@@ -49,6 +49,15 @@ def chunks(texts: list[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[tupl
         yield start, len(texts)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int | None) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows, so that fewer become Python objects at once."""
+    for b in batches:
+        if rows is None:
+            yield b
+        else:
+            yield from (b.slice(i, rows) for i in range(0, b.num_rows, rows))
+
+
 def map_texts(
     df: DataFrame,
     text: str,
@@ -57,6 +66,7 @@ def map_texts(
     keep: list[str] | None = None,
     replace_text: bool = False,
     inputs: list[str] | None = None,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """Columns ``keep`` (all by default) and new ones computed from the UTF-8 bytes of ``text``.
 
@@ -80,7 +90,7 @@ def map_texts(
 
     def run(batches):
         step = make()
-        for batch in batches:
+        for batch in sliced(batches, slice_rows):
             texts = batch.column(own).cast(pa.binary()).to_pylist()
             others = [batch.column(begin + i).to_pylist() for i in range(n_inputs)]
             for a, b in chunks(texts):
@@ -101,17 +111,25 @@ def held_out(doc_id: str):
     return F.coalesce(F.crc32(col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """At most ``rows`` training documents with their label: columns doc_id, text, label.
+def usable_labels(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) of the documents of ``docs`` that a learner may see: labels 0 and 1, without the held-out fold.
 
-    The ids are drawn from ``labels`` by a hash, the same on every run, without the held-out
-    fold. Only these ids are broadcast, so the bound on the broadcast is ``rows``.
+    One row for each id; contradicting labels count as the smaller one. Labels of other documents
+    and other values are left out.
     """
     wanted = labels.select(col("doc_id").alias("doc_id"), col(label).cast("int").alias("label"))
-    wanted = wanted.filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-    # one row per id; contradicting labels count as the smaller one
+    wanted = wanted.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     wanted = wanted.groupBy("doc_id").agg(F.min("label").alias("label"))
-    wanted = wanted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return wanted.join(docs.select(col("doc_id").alias("doc_id")), "doc_id", "left_semi")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
+    """At most ``rows`` training documents with their label: columns doc_id, text, label.
+
+    The ids are drawn by a hash from the labels of ``docs``, the same on every run. Only
+    these ids are broadcast, so the bound on the broadcast is ``rows``.
+    """
+    wanted = usable_labels(docs, labels, label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     return docs.select(col("doc_id").alias("doc_id"), col("text").cast("string").alias("text")).join(
         F.broadcast(wanted), "doc_id"
     )

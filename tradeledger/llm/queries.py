@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeledger.llm import conversation_repair, cross_polytope, decontamination, license_scan, line_crf, mixing, pseudonyms, quality_rules, simhash, substring_dedup, token_alignment, token_counts, url_filter
-from tradeledger.llm.common import bounded_rows, held_out, labelled_sample, table
+from tradeledger.llm.common import bounded_rows, held_out, labelled_sample, table, usable_labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -46,6 +47,22 @@ def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 GOOD_SCORE = 0.7
 #: Demonstration key of the registered query; a production run passes its own secret.
 DEMO_KEY = "demonstration key"
+#: Setting of the session that holds the secret of a production run.
+KEY_SETTING = "spark.tradeledger.pseudonymKey"
+
+
+def pseudonym_key(spark: SparkSession) -> str:
+    """The session's secret. Without one the registered queries fall back to the public demonstration key, and say so."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        warnings.warn(f"{KEY_SETTING} is not set: pseudonyms of the demonstration key can be turned back by anyone", stacklevel=2)
+    return key or DEMO_KEY
+
+
+def require_both(sample: list, docs: DataFrame, labels: DataFrame, what: str) -> None:
+    """A learner would judge all documents alike if its sample lacked a label that training documents have."""
+    if len({r["label"] for r in sample}) < 2 and usable_labels(docs, labels, "quality").select("label").distinct().count() > 1:
+        raise ValueError(f"{what}, {len(sample)} documents, lacks one of the labels")
 
 
 def trained_crf(spark: SparkSession, sf_dir: str, rows: int = CRF_SAMPLE) -> line_crf.Crf:
@@ -64,12 +81,7 @@ def trained_crf(spark: SparkSession, sf_dir: str, rows: int = CRF_SAMPLE) -> lin
             total += size
             ids.append(i)
     got = bounded_rows(sample.filter(F.col("doc_id").isin(ids)), rows)
-    if len({r["label"] for r in got}) < 2:  # would give every document the same score
-        usable = labels.select("doc_id", F.col("quality").cast("int").alias("label"))
-        usable = usable.filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~held_out("doc_id"))
-        usable = usable.groupBy("doc_id").agg(F.min("label").alias("label")).join(docs.select("doc_id"), "doc_id", "left_semi")
-        if usable.select("label").distinct().count() > 1:
-            raise ValueError(f"the classifier's sample ({len(got)} documents, at most {CRF_BYTES} bytes) lacks one of the labels")
+    require_both(got, docs, labels, f"the classifier's sample (at most {CRF_BYTES} bytes)")
     return line_crf.train([(r["text"] or "").encode() for r in got], [r["label"] for r in got])
 
 
@@ -116,9 +128,9 @@ def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op4_pii")
-def pseudonymised_documents(spark: SparkSession, sf_dir: str, key: str = DEMO_KEY) -> DataFrame:
+def pseudonymised_documents(spark: SparkSession, sf_dir: str, key: str | None = None) -> DataFrame:
     """Every document with its personal numbers, dates and addresses replaced."""
-    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), key, "text", ["doc_id", "text"])
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), key or pseudonym_key(spark), "text", ["doc_id", "text"])
 
 
 @query("op5_url_filters")
@@ -162,8 +174,10 @@ def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def learned_rules(spark: SparkSession, sf_dir: str, rows: int = RULE_SAMPLE) -> list[quality_rules.Rule]:
-    sample = labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", rows)
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    sample = labelled_sample(docs, labels, "quality", rows)
     measured = bounded_rows(quality_rules.with_statistics(sample, "text", ["doc_id", "label"]), rows)
+    require_both(measured, docs, labels, "the rules' sample")
     bad = [r["label"] == 0 for r in measured]
     return quality_rules.learn(quality_rules.feature_matrix(measured), quality_rules.np.array(bad, bool))
 
@@ -206,16 +220,19 @@ plan as (
   from levels),
 parts as (
   select *, case when source_size > 0 then cast(floor(target / source_size) as bigint) else 0 end as whole from plan),
-keyed as (select source, k, sum(size) as s from sized where size > 0 group by source, k),
+keyed as (select source, k, sum(size) as s, count(*) as n from sized where size > 0 group by source, k),
 running as (select *, sum(s) over (partition by source order by k) as upto from keyed),
-last as (
-  select r.source, max(k) as last_k from running r join parts p on r.source is not distinct from p.source
-  where upto - s / 2 <= target - whole * source_size group by r.source)
-select doc_id, cast(size as bigint) as size, source_size, target,
-  cast(case when size > 0 then whole + case when k <= last_k then 1 else 0 end else 0 end as bigint) as copies,
-  cast(case when size > 0 then whole + case when k <= last_k then 1 else 0 end else 0 end * size as bigint) as taken
-from sized d join parts p on d.source is not distinct from p.source
-left join last l on d.source is not distinct from l.source
+drawn as (
+  select r.source, k, floor((target - whole * source_size - (upto - s)) * n / s + 0.5) as take
+  from running r join parts p on r.source is not distinct from p.source),
+last as (select source, max({'k': k, 'take': take}) as l from drawn where take >= 1 group by source),
+placed as (select *, row_number() over (partition by source, k) as place from sized),
+mixed as (
+  select doc_id, cast(size as bigint) as size, source_size, target,
+    case when size > 0 then whole + case when k < l.k or k = l.k and place <= l.take then 1 else 0 end else 0 end as copies
+  from placed d join parts p on d.source is not distinct from p.source
+  left join last t on d.source is not distinct from t.source)
+select doc_id, size, source_size, target, cast(copies as bigint) as copies, cast(copies * size as bigint) as taken from mixed
 """
 
 

@@ -193,7 +193,7 @@ def keep_one(
 ) -> DataFrame:
     """The rows of ``docs``, one of each group: smallest doc_id (null last), then smallest text digest.
 
-    Rows alike in id and text count as one.
+    Rows alike in id and text count as one; the first by all columns (as JSON) stays.
     """
     digest = F.md5(F.coalesce(col(text).cast("string"), F.lit("")).cast("binary"))
     ids = docs.select(col(doc_id).alias("doc_id"), digest.alias("digest"), col(text).alias("text"))
@@ -210,5 +210,6 @@ def keep_one(
     kept = kept.join(chosen, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_digest") == F.col("_d")))
     if chosen.filter("_n > 1").isEmpty():
         return kept.select("row.*")
-    single, several = kept.filter("_n = 1"), kept.filter("_n > 1").dropDuplicates(["_id", "_digest"])
-    return single.unionByName(several).select("row.*")
+    # of rows alike in id and text the first by all columns
+    several = kept.filter("_n > 1").groupBy("_id", "_digest").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return kept.filter("_n = 1").select("row.*").unionAll(several.select("row.*"))

@@ -39,7 +39,7 @@ LONG_BYTES = 1 << 16
 #: Neighbouring fragments that one group of the tree reduction composes.
 FAN_IN = 16
 #: Words whose alignment a worker remembers; beyond it the memory starts anew.
-CACHED_WORDS = 1 << 18
+CACHED_WORDS = 3 << 16
 #: A run of white space from this length on goes to the slower tokenizer of the same file.
 LONG_RUN = re.compile(r"\s{500,}")
 #: Both tokenizers have a token border before a single space between two visible characters.
@@ -222,11 +222,9 @@ class Aligner:
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.texts: list[bytes] = []
-        self.n_a: list[int] = []  # -1: not spelled by both
-        self.n_b: list[int] = []
-        self.n_groups: list[int] = []
-        self.first: list[int] = [0]
+        self.texts, self.text_ends = bytearray(), array("q", [0])
+        self.n_a, self.n_b, self.n_groups = array("i"), array("i"), array("i")  # n_a is -1: not spelled by both
+        self.first = array("q", [0])
         self.store = np.empty(1 << 16, np.int32)
 
     def put(self, word: str, texts: list[bytes], n_a: int, n_b: int, links: np.ndarray) -> None:
@@ -234,8 +232,9 @@ class Aligner:
         if end > len(self.store):
             self.store = np.concatenate([self.store, np.empty(max(len(self.store), end), np.int32)])
         self.store[self.first[-1] : end] = links
-        self.place[word] = len(self.texts)
-        self.texts.append(b";".join(texts))
+        self.place[word] = len(self.n_a)
+        self.texts += b";".join(texts)
+        self.text_ends.append(len(self.texts))
         self.n_a.append(n_a)
         self.n_b.append(n_b)
         self.n_groups.append(len(texts))
@@ -284,7 +283,8 @@ class Aligner:
         place = self.place
         flat = np.array([place[w] for own in words for w in own], np.int64)
         at = ragged(np.array([len(own) for own in words], np.int64)).tolist()
-        n_a, n_b, n_groups, first = (np.array(x, np.int64) for x in (self.n_a, self.n_b, self.n_groups, self.first))
+        n_a, n_b, n_groups = (np.array(x, np.int64) for x in (self.n_a, self.n_b, self.n_groups))
+        first, ends, all_texts = np.array(self.first), self.text_ends, bytes(self.texts)
         # links of all words of the batch, one after the other
         counts = n_groups[flat]
         starts = ragged(counts)
@@ -295,7 +295,7 @@ class Aligner:
             if (n_a[own] < 0).any():
                 made.append((False, 0, 0, 0, b"", np.empty(0, np.int32)))
                 continue
-            text = b";".join([self.texts[w] for w in own.tolist()])
+            text = b";".join([all_texts[ends[w] : ends[w + 1]] for w in own.tolist()])
             made.append((True, int(n_a[own].sum()), int(n_b[own].sum()), int(counts[i:j].sum()), text, gathered[starts[i] : starts[j]]))
         return made
 
@@ -398,7 +398,7 @@ def short_texts(docs: DataFrame, a_path: str, b_path: str, keep: list[str], dige
 
         return step
 
-    return map_texts(docs, "text", ALIGNED, make, keep)
+    return map_texts(docs, "text", ALIGNED, make, keep, slice_rows=1024)
 
 
 def long_texts(docs: DataFrame, a_path: str, b_path: str, keep: list[str], digest: bool, long_bytes: int, longest: int) -> DataFrame:
