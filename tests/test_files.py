@@ -1,6 +1,7 @@
 """Scans and sinks with real files, and the whole batch run."""
 
 import json
+from dataclasses import replace
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -71,6 +72,29 @@ def test_log_append_adds_columns(spark, tmp_path):
     assert {(r["a"], r["b"]) for r in writers.read_log(spark, path).collect()} == {(1, None), (2, "x")}
 
 
+def test_a_run_leaves_one_set_of_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "log")
+    rows = spark.createDataFrame([(1,), (2,)], "a int")
+    for _ in range(2):
+        writers.append_log(rows, path, "2024-01-01 00:00:00")
+    writers.append_log(rows.limit(1), path, "7")
+
+    def stop(*args):
+        raise RuntimeError("stopped before the commit")
+
+    with monkeypatch.context() as m:
+        m.setattr(writers, "_commit", stop)
+        for run in ("7", "never finished"):
+            with pytest.raises(RuntimeError):
+                writers.append_log(rows, path, run)
+    got = [(r["log_run"], r["a"]) for r in writers.read_log(spark, path, with_run=True).collect()]
+    assert sorted(got) == [("2024-01-01 00:00:00", 1), ("2024-01-01 00:00:00", 2), ("7", 1)]
+    writers.append_log(rows, path, "never finished")
+    assert writers.read_log(spark, path).count() == 5
+    with pytest.raises(ValueError, match="named by"):
+        writers.append_log(rows, path, "../up")
+
+
 def test_json_sinks(spark, tmp_path):
     checks = spark.createDataFrame([("a", "PASS"), ("b", "FAIL")], "check_name string, status string")
     writers.write_summary_json(checks, str(tmp_path / "s"), "now")
@@ -94,8 +118,11 @@ def test_batch_run(spark, root, tmp_path):
     run = batch.Run(spark, commerce(spark, root), str(tmp_path), now, min_rows=1000, tier_bounds=(490, 560, 610))
     seconds = batch.run_all(run)
     assert list(seconds) == list(batch.STEPS)
-    batch.monitor(run)  # a second run appends to the history
-    assert writers.read_log(spark, run.path("monitoring", "history.parquet")).count() == 2
+    batch.monitor(run)  # the step again: still one row for the run
+    history = run.path("monitoring", "history.parquet")
+    assert writers.read_log(spark, history).count() == 1
+    batch.monitor(replace(run, run_id="next"))
+    assert {r["log_run"] for r in writers.read_log(spark, history, with_run=True).collect()} == {now, "next"}
     assert run.published().count() == run.fact().count()
     monitoring = {r["check_name"]: r["status"] for r in run.read("monitoring", "published_monitoring").collect()}
     assert len(monitoring) == 12 and monitoring["published_file_freshness_hours"] == "PASS"

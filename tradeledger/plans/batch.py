@@ -40,6 +40,7 @@ class Run:
     # cleaned items written once and read by all branches; pays off when the source is large
     staged: bool = True
     business_rules: list[dict] = field(default_factory=lambda: list(BUSINESS_RULES))
+    run_id: str | None = None  # name of the run in logs, ``as_of`` by default
 
     def raw(self) -> dict[str, DataFrame]:
         return {name: getattr(self.source, name) for name in TABLES}
@@ -126,10 +127,8 @@ def publish(run: Run) -> None:
 
 
 def semantic(run: Run) -> None:
-    table = run.published()
-    together(
-        [partial(writers.write_dual, mart(table), run.path("semantic", name)) for name, mart in marts.MARTS.items()]
-    )
+    made = marts.shared_marts(run.published())
+    together([partial(writers.write_dual, mart, run.path("semantic", name)) for name, mart in made.items()])
 
 
 def classify(run: Run) -> None:
@@ -169,7 +168,7 @@ def quality(run: Run) -> None:
 
 
 def monitor(run: Run) -> None:
-    """Monitoring rows, alert payload and one appended history row."""
+    """Monitoring rows, alert payload and one history row a run, however often the step runs."""
     table = run.published()
     target = run.path("published", "fact_orders_dashboard") + ".parquet"
     age = governance.freshness_check(governance.file_times(run.spark, target), run.as_of)
@@ -179,7 +178,7 @@ def monitor(run: Run) -> None:
     writers.write_summary_json(checks, run.path("monitoring", "published_monitoring_json"), run.as_of, "results")
     writers.write_jsonl(governance.alert_payload(checks), run.path("monitoring", "alert"))
     status = governance.checks_summary_row(checks, "fact_orders_dashboard", run.as_of)
-    writers.append_log(status, run.path("monitoring", "history.parquet"))
+    writers.append_log(status, run.path("monitoring", "history.parquet"), run.run_id or run.as_of)
 
 
 def scorecards(run: Run) -> None:
@@ -214,10 +213,10 @@ def asset_catalog(run: Run) -> None:
 
 def sql_reports(run: Run) -> DataFrame:
     """All reports as CSV with a manifest (query, path, rows, columns); rows are counted while writing."""
-    fact = run.fact()
+    shared = reports.shared_reports(run.fact())
 
     def write(name: str) -> tuple:
-        report = reports.REPORTS[name](fact)
+        report = reports.REPORTS[name](shared)
         target, seen = run.path("reports", name), Observation(name)
         counted = report.observe(seen, F.count(F.lit(1)).alias("rows"))
         counted.write.mode("overwrite").option("header", True).csv(target)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tradeledger.functions.scalars import month_key, month_key_from_parts, try_number
 from tradeledger.functions.stable import share, stable_avg, stable_total
 from tradeledger.operators.ordered import running_total
+from tradeledger.plans.shared import State, double_mean, double_states, double_sum, rows_where, share as share_groups
 
 MONEY = "decimal(38,6)"
 
@@ -113,6 +114,67 @@ MARTS = {
 }
 
 
+MART_GRAINS = {
+    "logistics_slice": ["order_year", "order_month", "customer_state", "seller_state"],
+    "seller_slice": ["seller_key", "seller_state", "seller_volume_tier"],
+    "cohort_slice": ["purchase_cohort_month", "cohort_order_month_number"],
+    "category_slice": ["order_year", "order_month", "product_category_name_english", "payment_type_mode"],
+    "state_performance_slice": ["order_year", "order_month", "customer_state"],
+}
+
+
+def shared_marts(df: DataFrame) -> dict[str, DataFrame]:
+    """All marts of the published table from two scans of it; the rows are those of ``MARTS``."""
+    keys = {k: F.col(k) for k in dict.fromkeys(k for own in MART_GRAINS.values() for k in own)}
+    states = {
+        "rows": State(F.lit(1).cast("long"), "count"),
+        "items": rows_where(F.col("order_item_id").isNotNull()),
+        "delayed": rows_where(F.col("is_delayed")),
+    }
+    for name in ("seller_order_count", "seller_avg_delivery_days", "seller_delay_rate"):
+        states[name] = State(F.col(name), "max")
+    means = ("delivery_time_days", "seller_dispatch_time_days", "carrier_delivery_time_days", "freight_to_price_ratio", "total_item_value", "review_score_mean")
+    for name in means:
+        states |= double_states(name, name)
+    distinct = {
+        "orders": (F.col("order_id"), ["cohort_slice", "category_slice", "state_performance_slice"]),
+        "customers": (F.col("customer_unique_id"), ["cohort_slice"]),
+        "active_sellers": (F.col("seller_key"), ["state_performance_slice"]),
+    }
+    groups = share_groups(df, keys, MART_GRAINS, states, distinct, cells=False)
+    col, late = F.col, F.col("delayed").cast("double") / F.col("rows")
+    revenue = F.coalesce(double_sum("total_item_value"), F.lit(0.0))
+    measures = {
+        "logistics_slice": {
+            "total_items": col("items"), "delayed_rate": late, "avg_delivery_time_days": double_mean("delivery_time_days"),
+            "avg_dispatch_time_days": double_mean("seller_dispatch_time_days"), "avg_carrier_time_days": double_mean("carrier_delivery_time_days"),
+            "avg_freight_to_price_ratio": double_mean("freight_to_price_ratio"),
+        },
+        "seller_slice": {
+            "total_items": col("items"), "seller_order_count": col("seller_order_count"), "avg_ticket": double_mean("total_item_value"),
+            "avg_delivery_time_days": col("seller_avg_delivery_days"), "delay_rate": col("seller_delay_rate"), "avg_review_score": double_mean("review_score_mean"),
+        },
+        "cohort_slice": {
+            "customers": col("customers"), "orders": col("orders"), "items": col("items"), "avg_ticket": double_mean("total_item_value"), "delayed_rate": late,
+        },
+        "category_slice": {
+            "orders": col("orders"), "items": col("items"), "revenue": revenue, "avg_ticket": double_mean("total_item_value"), "delayed_rate": late,
+            "avg_review_score": double_mean("review_score_mean"), "avg_freight_to_price_ratio": double_mean("freight_to_price_ratio"),
+        },
+        "state_performance_slice": {
+            "orders": col("orders"), "items": col("items"), "active_sellers": col("active_sellers"), "revenue": revenue,
+            "avg_ticket": double_mean("total_item_value"), "delayed_rate": late, "avg_delivery_time_days": double_mean("delivery_time_days"),
+            "avg_review_score": double_mean("review_score_mean"),
+        },
+    }
+    made = {}
+    for name, own in measures.items():
+        by = MART_GRAINS[name]
+        rows = groups.grain(by).select(*by, *[c.alias(n) for n, c in own.items()])
+        made[name] = rows.orderBy(*(["seller_volume_tier", "seller_key"] if name == "seller_slice" else by))
+    return made
+
+
 # ---- analyses ------------------------------------------------------------
 
 

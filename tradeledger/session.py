@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -35,7 +36,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        # executors of local-cluster[...] have folders of their own
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="tradeledger-checkpoint-")
     context.setCheckpointDir(folder)
@@ -51,6 +53,12 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
@@ -58,7 +66,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     lost executor costs a re-read instead of a re-computation.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid4().hex}"
+    path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

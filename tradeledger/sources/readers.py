@@ -1,4 +1,4 @@
-"""Scans: CSV with encoding fallback, layered tables, parameterised SQL, raw inventory."""
+"""Scans: CSV with encoding fallback and line breaks in quotes, layered tables, parameterised SQL, raw inventory."""
 
 from __future__ import annotations
 
@@ -9,55 +9,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeledger.operators.cleaning import with_snake_names
-
-BYTE_ORDER_MARK = (0xEF, 0xBB, 0xBF)
+from tradeledger.sources import csv_scan
 
 
 def date_columns(names: list[str]) -> list[str]:
     return [n for n in names if "date" in n.lower() or "timestamp" in n.lower()]
 
 
-def _csv(spark: SparkSession, path: str, encoding: str, schema, infer: bool) -> DataFrame:
-    reader = spark.read.option("header", True).option("encoding", encoding)
-    reader = reader.option("multiLine", False)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.option("inferSchema", infer and schema is None).csv(path)
-
-
-def _starts_with_mark(spark: SparkSession, path: str) -> bool:
-    """Whether the first file under ``path`` begins with a UTF-8 byte-order mark (three bytes are read)."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if system.getFileStatus(target).isDirectory():
-        names = sorted(f.getPath().toString() for f in system.listStatus(target) if f.isFile())
-        target = jvm.org.apache.hadoop.fs.Path(next(n for n in names if not n.rsplit("/", 1)[-1].startswith(("_", "."))))
-    stream = system.open(target)
-    try:
-        return tuple(stream.read() for _ in BYTE_ORDER_MARK) == BYTE_ORDER_MARK
-    finally:
-        stream.close()
-
-
-def csv_encoding(spark: SparkSession, path: str) -> str:
-    """`utf-8`, `utf-8-sig` (byte-order mark) or `latin-1`.
-
-    Every line is checked in parallel: Spark does not fail on bytes that are not UTF-8, so
-    the fallback to latin-1 needs its own look at the data.
-    """
-    lines = spark.read.text(path)
-    broken = lines.agg(F.coalesce(F.bool_or(~F.is_valid_utf8("value")), F.lit(False))).first()[0]
-    return "latin-1" if broken else "utf-8-sig" if _starts_with_mark(spark, path) else "utf-8"
-
-
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, infer: bool = True
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, infer: bool = True, sep: str = ","
 ) -> tuple[DataFrame, str, list[str]]:
-    """(table, encoding, date columns). Date columns that hold unreadable text stay text."""
-    encoding = csv_encoding(spark, path)
-    df = _csv(spark, path, "ISO-8859-1" if encoding == "latin-1" else "UTF-8", schema, infer)
-    df = df.toDF(*[c.lstrip("\ufeff").strip('"') for c in df.columns])
+    """(table, encoding, date columns). Date columns that hold unreadable text stay text.
+
+    Quoted fields may hold line breaks; records that do not fit the header are left out (see
+    `csv_scan.scan` for them). With a ``schema`` values that do not read as their type are null.
+    """
+    found = csv_scan.scan(spark, path, sep)
+    df, encoding = found.rows, found.encoding
+    if schema is not None:
+        fields = (schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)).fields
+        df = df.toDF(*[f.name for f in fields]).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields])
+    elif infer:
+        df = csv_scan.inferred(df)
     dates = date_columns(df.columns)
     texts = [c for c in dates if isinstance(df.schema[c].dataType, T.StringType)]
     if texts:

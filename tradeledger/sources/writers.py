@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -63,11 +67,51 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def append_log(df: DataFrame, path: str) -> None:
-    """Adds rows to an append-only log table."""
-    df.write.mode("append").parquet(path)
+RUN, ATTEMPT, COMMITS = "log_run", "log_attempt", "_commits"
+
+
+def append_log(df: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Adds the rows of one run to a log table, exactly once.
+
+    Every attempt writes to a folder of its own; then one atomic rename makes it the run's attempt.
+    A step that is run again, or stopped before that rename, leaves one set of rows for its
+    run. Without ``run_id`` each call is a run.
+    """
+    run, attempt = run_id or uuid4().hex, uuid4().hex
+    if not re.fullmatch(r"[\w.: +-]+", run):
+        raise ValueError(f"a run is named by letters, digits, blanks and .:_+-, not {run!r}")
+    df.write.parquet(f"{path}/{RUN}={_escaped(run)}/{ATTEMPT}={attempt}")
+    _commit(df.sparkSession, path, run, attempt)
+
+
+def _escaped(name: str) -> str:
+    return name.replace(":", "%3A")
+
+
+def _commit(spark: SparkSession, path: str, run: str, attempt: str) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs
+    mark, draft = fs.Path(f"{path}/{COMMITS}/{_escaped(run)}"), fs.Path(f"{path}/{COMMITS}/.{attempt}")
+    system = draft.getFileSystem(conf)
+    out = system.create(draft)
+    out.write(bytearray(f"{run}\t{attempt}\n".encode()))
+    out.close()
+    overwrite = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+    overwrite[0] = fs.Options.Rename.OVERWRITE
+    fs.FileContext.getFileContext(system.getUri(), conf).rename(system.makeQualified(draft), system.makeQualified(mark), overwrite)
+
+
+def read_log(spark: SparkSession, path: str, with_run: bool = False) -> DataFrame:
+    """The rows of every committed run (``with_run``: and its name); columns added later are null in older rows."""
+    marks = spark.read.text(f"{path}/{COMMITS}").select(F.split("value", "\t").alias("m"))
+    marks = marks.select(F.col("m")[0].alias("_run"), F.col("m")[1].alias("_attempt"))
+    rows = spark.read.option("mergeSchema", True).schema(_log_schema(spark, path)).parquet(path)
+    committed = rows.join(marks, (F.col(RUN) == F.col("_run")) & (F.col(ATTEMPT) == F.col("_attempt")))
+    kept = [c for c in rows.columns if c not in (RUN, ATTEMPT)]
+    return committed.select(*kept, *([RUN] if with_run else []))
 
 
-def read_log(spark, path: str) -> DataFrame:
-    """The whole log; columns added later are null in older rows."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+def _log_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The merged schema; names of runs stay text also where they look like numbers or dates."""
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    return T.StructType([T.StructField(f.name, T.StringType() if f.name in (RUN, ATTEMPT) else f.dataType) for f in found.fields])

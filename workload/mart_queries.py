@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tradeledger.operators import cohorts
 from tradeledger.operators import ordered as od
 from tradeledger.plans import marts, reports, star
+from tradeledger.plans.shared import GRAIN, double_mean, double_sum
 from tradeledger.sources.commerce import table
-from workload.base import cte, pseudonym, query, s_avg, s_total, share
+from workload.base import cte, pseudonym, query, s_avg, s_sum, s_total, share
 from workload.inputs import fact, published
 
 # ---- marts ---------------------------------------------------------------
@@ -275,6 +276,44 @@ from fact group by 1""",
 for key, build in reports.REPORTS.items():
     query(key, REPORT_SQL[key])(lambda s, r, b=build: b(fact(s, r)))
 
+GRAIN_SETS = ", ".join("(" + ", ".join(keys) + ")" for keys in reports.GRAINS.values())
+GRAIN_KEYS = ", ".join(reports.KEYS)
+GRAIN_NAMES = " ".join(
+    f"when {sum(1 << (len(reports.KEYS) - 1 - i) for i, k in enumerate(reports.KEYS) if k not in keys)} then '{name}'"
+    for name, keys in reports.GRAINS.items()
+)
+
+
+@query(
+    "shared_report_groups",
+    f"""
+select case grouping({GRAIN_KEYS}) {GRAIN_NAMES} end as grain, {GRAIN_KEYS}, count(*) as rows, count(distinct order_id) as orders,
+  {s_sum("total_item_value")} as revenue, {_mean("delivery_time_days")} as avg_delivery_time_days, {LATE} as delayed_rate
+from (
+  select *, coalesce(product_category_name_english, product_category_name, 'unknown') as category,
+    coalesce(payment_type_mode, 'unknown') as payment_type, cast(date_trunc('month', order_date) as date) as mes_referencia
+  from fact)
+group by grouping sets ({GRAIN_SETS})
+""",
+)
+def _(spark, root):
+    """Every group of the seventeen reports from two scans of the fact."""
+    shared = reports.shared_reports(fact(spark, root))
+    return shared.table.select(
+        F.col(GRAIN).alias("grain"), *reports.KEYS, "rows", "orders", double_sum("total_item_value").alias("revenue"),
+        F.round(double_mean("delivery_time_days"), 2).alias("avg_delivery_time_days"), (F.col("delayed").cast("double") / F.col("rows")).alias("delayed_rate"),
+    )
+
+
+for key, name, mart in (
+    ("logistics_mart_shared", "logistics_slice", "m_logistics"),
+    ("seller_mart_shared", "seller_slice", "m_seller"),
+    ("cohort_mart_shared", "cohort_slice", "m_cohort"),
+    ("category_payment_mart_shared", "category_slice", "m_category"),
+    ("state_performance_mart_shared", "state_performance_slice", "m_state"),
+):
+    query(key, f"select * from {mart}")(lambda s, r, n=name: marts.shared_marts(published(s, r))[n])
+
 # ---- E7-E12, F, G --------------------------------------------------------
 
 cte(
