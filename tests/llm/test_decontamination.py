@@ -113,6 +113,27 @@ def test_wavelet_matrix():
     assert matrix.rank(asked, np.arange(501)).tolist() == [int((values[:i] == s).sum()) for i, s in enumerate(asked)]
 
 
+def test_long_items_are_cut_without_losing_a_window(spark):
+    rng = np.random.default_rng(6)
+    item = " ".join(f"w{i}" for i in rng.integers(0, 40, 300))
+    docs = documents(spark, [(i, " ".join(item.split()[a : a + 30]) + " tail", "en", "s", 0) for i, a in enumerate(range(0, 270, 7))])
+    for block_words in (15, 64, 1000):
+        got = dc.find_benchmark(docs, benchmark(spark, [(1, item), (2, "w1 w2")]), block_words=block_words).collect()
+        for r in got:
+            assert plain(r) == brute(r["text"], [(1, item), (2, "w1 w2")]), block_words
+
+
+def test_windows_whose_last_words_the_shard_lacks_are_not_searched():
+    rng = np.random.default_rng(7)
+    items = [(str(i), [b"x%d" % x for x in rng.integers(0, 3000, 60)]) for i in range(200)]
+    block = dc.make_block(items, 10)
+    own = items[7][1][20:40]
+    ids = np.array([block.vocabulary[w] for w in own] + [0])
+    some = dc.possible(ids, block, 10, {})
+    assert 11 <= len(some) < 100 < len(block.windows[10])
+    assert [block.items(10, w) for w in some if (block.patterns(10, np.array([w]))[0] == ids[:10]).all()] == [["7"]]
+
+
 def test_long_strings_are_cut_with_an_overlap(monkeypatch):
     monkeypatch.setattr(dc, "SHARD_WORDS", 64)
     rows, items = random_tables()

@@ -4,7 +4,7 @@ A shard is a bounded batch of documents inside a task. Words become numbers of t
 vocabulary; a word the benchmark does not have ends a string, because no window can hold it.
 The shard's strings (those at least as long as the shortest window) are sorted into a suffix
 array, whose Burrows-Wheeler transform is kept in a wavelet matrix. All windows are searched
-backwards at once, occurrences are located through sampled suffix positions, and the words
+backwards at once if the shard has their last words at all, occurrences are located through sampled suffix positions, and the words
 they cover are merged into removal spans.
 
 The benchmark is read in blocks of bounded size, each broadcast on its own and held against
@@ -13,6 +13,7 @@ all documents; one block is one pass.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -31,6 +32,8 @@ BLOCK_WORDS = 1_000_000
 #: Words of one index; longer strings are cut with an overlap.
 SHARD_WORDS = 1 << 20
 SAMPLE_EVERY = 8
+#: Last words of a window that a shard must have together, and the bits of their hash.
+PROBE_WORDS, PROBE_BITS = 4, 24
 
 #: Bytes to words: A-Z lower-cased, everything that is no word character to a space.
 WORD_BYTES = bytes(
@@ -171,44 +174,84 @@ class FmIndex:
 
 @dataclass
 class Block:
-    """Vocabulary (word to number from 1), windows by length, and the items of each window."""
+    """A bounded part of the benchmark: its words as numbers, and its distinct windows by length.
+
+    Windows are places in ``words``; ``owners`` has for each window the items that have it, as
+    offsets and item numbers. ``probes`` hashes the last words of each window.
+    """
 
     vocabulary: dict[bytes, int]
+    words: np.ndarray
     windows: dict[int, np.ndarray]
-    items: dict[int, list[list[str]]]
+    owners: dict[int, tuple[np.ndarray, np.ndarray]]
+    names: list[str]
+    probes: dict[int, np.ndarray]
 
     @property
     def shortest(self) -> int:
         return min(self.windows)
 
+    def patterns(self, length: int, which: np.ndarray) -> np.ndarray:
+        return self.words[self.windows[length][which][:, None] + np.arange(length)].astype(np.int64)
+
+    def items(self, length: int, window: int) -> list[str]:
+        offsets, items = self.owners[length]
+        return [self.names[i] for i in items[offsets[window] : offsets[window + 1]].tolist()]
+
+
+def hashed(columns: list[np.ndarray]) -> np.ndarray:
+    """PROBE_BITS bits of the numbers that stand together in the columns."""
+    h = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        h = (h + c.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return (h >> np.uint64(64 - PROBE_BITS)).astype(np.uint32)
+
 
 def make_block(items: list[tuple[str, list[bytes]]], window: int) -> Block:
+    """From (item, words)."""
     vocabulary: dict[bytes, int] = {}
-    found: dict[int, dict[tuple[int, ...], set[str]]] = {}
+    number: dict[str, int] = {}
+    ids, begins, owners = [], defaultdict(list), defaultdict(list)
+    at = 0
     for item, words in items:
-        ids = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in words]
-        length = min(window, len(ids))
-        for i in range(len(ids) - length + 1):
-            found.setdefault(length, {}).setdefault(tuple(ids[i : i + length]), set()).add(item)
-    return Block(
-        vocabulary,
-        {n: np.array(list(w), np.int64) for n, w in found.items()},
-        {n: [sorted(s) for s in w.values()] for n, w in found.items()},
-    )
+        length = min(window, len(words))
+        ids.append(np.fromiter((vocabulary.setdefault(w, len(vocabulary) + 1) for w in words), np.int32, len(words)))
+        n = len(words) - length + 1
+        begins[length].append(np.arange(at, at + n, dtype=np.int32))
+        owners[length].append(np.full(n, number.setdefault(item, len(number)), np.int32))
+        at += len(words)
+    text = np.concatenate(ids)
+    windows, by_window, probes = {}, {}, {}
+    for length in begins:
+        start, owner = np.concatenate(begins[length]), np.concatenate(owners[length])
+        rows = np.ascontiguousarray(text[start[:, None] + np.arange(length)]).view(f"V{4 * length}").ravel()
+        _, first, same = np.unique(rows, return_index=True, return_inverse=True)
+        windows[length] = start[first]
+        pairs = np.unique(same.astype(np.int64) << 32 | owner)
+        by_window[length] = (ragged(np.bincount(pairs >> 32, minlength=len(first))), (pairs & 0xFFFFFFFF).astype(np.int32))
+        probes[length] = hashed([text[windows[length] + k] for k in range(max(length - PROBE_WORDS, 0), length)])
+    return Block(vocabulary, text, windows, by_window, list(number), probes)
 
 
 def blocks(benchmark: DataFrame, window: int, block_words: int, item_id: str = "item_id", text: str = "text") -> Iterator[Block]:
-    """Blocks of whole items; the driver holds one at a time (an item longer than a block has its own)."""
+    """Blocks of at most ``block_words`` words; the driver holds one at a time.
+
+    An item that is longer is cut with an overlap of a window less one word, so no window is lost.
+    """
     held, size = [], 0
     for row in benchmark.select(col(item_id).cast("string"), col(text).cast("string")).toLocalIterator():
         words = words_of((row[1] or "").encode())
         if not words:
             continue
-        if held and size + len(words) > block_words:
-            yield make_block(held, window)
-            held, size = [], 0
-        held.append((row[0] or "", words))
-        size += len(words)
+        step = max(block_words - window + 1, 1)
+        for a in range(0, max(len(words) - window, 0) + 1, step):
+            piece = words[a : a + step + window - 1]
+            if held and size + len(piece) > block_words:
+                yield make_block(held, window)
+                held, size = [], 0
+            held.append((row[0] or "", piece))
+            size += len(piece)
     if held:
         yield make_block(held, window)
 
@@ -236,18 +279,39 @@ def strings(ids: np.ndarray, block: Block) -> Iterator[tuple[np.ndarray, np.ndar
             yield text, at
 
 
+def possible(text: np.ndarray, block: Block, length: int, met: dict[int, np.ndarray]) -> np.ndarray:
+    """Windows whose last words the shard has together; only these are worth a search.
+
+    The search begins with the last word, so a window that is left out would have ended there. A
+    bit for each hash of the shard's word groups: no occurring window is lost.
+    """
+    n = min(PROBE_WORDS, length)
+    if n not in met:
+        bits = np.zeros(1 << PROBE_BITS >> 3, np.uint8)
+        if len(text) >= n:
+            h = hashed([text[k : len(text) - n + 1 + k] for k in range(n)])
+            np.bitwise_or.at(bits, h >> 3, np.uint8(1) << (h & 7).astype(np.uint8))
+        met[n] = bits
+    probes = block.probes[length]
+    return np.flatnonzero(met[n][probes >> 3] >> (probes & 7).astype(np.uint8) & 1)
+
+
 def occurrences(ids: np.ndarray, block: Block) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(window length, window numbers, places in ``ids``) of all occurrences."""
     for text, at in strings(ids, block):
-        index = FmIndex(text, len(block.vocabulary) + 1)
-        for length, windows in block.windows.items():
-            low, high = index.search(windows)
+        index, met = None, {}
+        for length in block.windows:
+            some = possible(text, block, length, met)
+            if not len(some):
+                continue
+            index = index or FmIndex(text, len(block.vocabulary) + 1)
+            low, high = index.search(block.patterns(length, some))
             counts = high - low
-            which = np.repeat(np.arange(len(windows)), counts)
+            which = np.repeat(np.arange(len(some)), counts)
             for a in range(0, len(which), SHARD_WORDS):  # a bounded number at a time
                 part = which[a : a + SHARD_WORDS]
                 rows = low[part] + np.arange(a, a + len(part)) - ragged(counts)[:-1][part]
-                yield length, part, at[index.locate(rows)]
+                yield length, some[part], at[index.locate(rows)]
 
 
 def scan(texts: list[bytes | None], block: Block) -> tuple[list[int], list[list[dict]], list[list[str]]]:
@@ -267,7 +331,7 @@ def scan(texts: list[bytes | None], block: Block) -> tuple[list[int], list[list[
         np.add.at(cover, place + length, -1)
         owner = np.searchsorted(starts, place, "right") - 1
         for doc, window in np.unique(np.column_stack([owner, which]), axis=0).tolist():
-            items[doc].update(block.items[length][window])
+            items[doc].update(block.items(length, window))
     hit = np.cumsum(cover)[:-1] > 0
     edges = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
     begin, end = edges[0::2], edges[1::2]
