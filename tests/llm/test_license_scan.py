@@ -11,10 +11,9 @@ def brute(text):
     starts = [i for p in places.values() for i in p]
     base = sorted(k for k, p in places.items() if p)
     shares = {}
-    for at in range(0, len(w), ls.STRIDE):
-        block = set(w[at : at + ls.BLOCK])
-        for t in ls.TEMPLATES:
-            held = len(block & set(t.tokens))
+    for t in ls.TEMPLATES:
+        for at in range(0, len(w), t.stride):
+            held = len(set(w[at : at + 2 * t.stride]) & set(t.tokens))
             if held >= t.needed(ls.THRESHOLD):
                 shares[t.label] = max(shares.get(t.label, 0), held / len(t.tokens))
     score = max([1.0] * bool(base) + list(shares.values()), default=0.0)
@@ -62,11 +61,11 @@ def test_every_matching_block_is_found(spark):
     wanted = []
     for doc_id, text, *_ in rows + [(99, None), (98, "")]:
         w = words(text)
-        for at in range(0, len(w), ls.STRIDE):
-            block = w[at : at + ls.BLOCK]
-            for t in ls.BASE + ls.TEMPLATES:
+        for t in ls.BASE + ls.TEMPLATES:
+            for at in range(0, len(w), t.stride):
+                block = w[at : at + 2 * t.stride]
                 held = len(set(block) & set(t.tokens))
-                inside = any(block[i : i + len(t.words)] == t.words for i in range(ls.STRIDE))
+                inside = any(block[i : i + len(t.words)] == t.words for i in range(t.stride))
                 if inside if t.phrase else held >= t.needed(ls.THRESHOLD):
                     wanted.append((doc_id, t.label, held / len(t.tokens), at, at + len(block) - 1))
     df = documents(spark, [*rows, (99, None, "", "", 0), (98, "", "", "", 0)])
@@ -75,6 +74,22 @@ def test_every_matching_block_is_found(spark):
     assert ls.matching_blocks(documents(spark, clashing=True)).columns.count("share") == 1
 
 
+def test_whole_license_texts_wherever_they_begin(spark, monkeypatch):
+    full = next(t for t in ls.TEMPLATES if t.label == "mit-full")
+    assert len(full.words) > 150 and full.stride >= len(full.words) - 1
+    rng = random.Random(4)
+    rows = []
+    for i in range(24):
+        kept = [w for w in full.words if rng.random() > (0, 0.1, 0.5)[i % 3]]
+        rows.append((i, " ".join(["lorem"] * rng.randrange(0, 700) + kept + ["ipsum"] * rng.randrange(0, 300)), "en", "s", 1))
+    df = documents(spark, rows)
+    got = found(ls.scan(df, keep=["doc_id"]))
+    assert got == sorted(((r[0], brute(r[1])) for r in rows), key=str)
+    assert all("mit-full" in r[1][5] for r in got if r[0] % 3 == 0) and not any("mit-full" in r[1][5] for r in got if r[0] % 3 == 2)
+    monkeypatch.setattr(ls, "MOST_PREFIXES", 0)  # as with thousands of license texts
+    assert found(ls.scan(df, keep=["doc_id"])) == got
+
+
 def test_filters_use_the_rarest_words(spark):
     df = documents(spark, [(i, "the license" if i else "mit", "", "", 0) for i in range(9)])
     order = ls.global_order(df.select(ls.words(df.text).alias("_words")), ls.BASE)
