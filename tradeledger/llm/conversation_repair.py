@@ -542,10 +542,10 @@ damaged as (
   select conv_id, turn, case when f = 4 then 'user' else role end as role,
     case when f = 1 then '' when f = 2 then translate(text, '.!?', '') else text end as text
   from coded, unnest(range(case f when 0 then 0 when 3 then 2 else 1 end)) u(copy)),
+ordered as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from damaged),
 placed as (
-  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
-    row_number() over (partition by conv_id, role, text order by turn nulls first) > 1 as seen,
-    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as shown from damaged),
+  select *, row_number() over (partition by conv_id, role, text order by i) > 1 as seen,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as shown from ordered),
 faults as (
   select *, shown = '' as is_blank, shown <> '' and seen as is_duplicate,
     shown <> '' and not seen and right(shown, 1) not in ('.', '!', '?') as is_truncated,
