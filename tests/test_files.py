@@ -139,3 +139,50 @@ def test_too_small_a_fact_stops_the_run(spark, root, tmp_path):
     run = batch.Run(spark, commerce(spark, root), str(tmp_path), "2024-01-01 00:00:00")
     with pytest.raises(ValueError, match="at least 100001"):
         batch.run_all(run)
+
+
+def test_group_documents_and_their_manifest(spark, tmp_path):
+    rows = [(s, f"check {c}", "FAIL" if (s * c) % 5 == 0 else "PASS") for s in range(300) for c in range(4)]
+    checks = spark.createDataFrame(rows, "seller long, check_name string, status string")
+    with readers._settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):  # as with many groups
+        manifest = writers.write_group_documents(checks, str(tmp_path / "g"), ["seller"], "now").collect()
+    documents = spark.read.json(str(tmp_path / "g" / "documents")).collect()
+    assert len(documents) == 300 == sum(m["documents"] for m in manifest) and len(manifest) > 1
+    for d in documents:
+        own = [r for r in rows if r[0] == d["seller"]]
+        assert (d["total_checks"], d["failed_checks"], len(d["checks"])) == (4, sum(r[2] == "FAIL" for r in own), 4)
+        assert sum(m["first_group"]["seller"] <= d["seller"] <= m["last_group"]["seller"] for m in manifest) == 1
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    paths = {"a": str(tmp_path / "a"), "b": str(tmp_path / "b")}
+    spark.range(1000).repartition(3).write.parquet(paths["a"])
+    spark.range(7).withColumn("p", F.col("id") % 2).write.partitionBy("p").parquet(paths["b"])
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    assert readers.footer_counts(spark, paths) == {"a": 1000, "b": 7}
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    with readers.from_footers(spark):
+        plan = readers.footer_plan(spark, paths["a"])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan
+
+
+def test_quarantine_reads_its_input_once(spark, tmp_path):
+    from tradeledger.operators.cleaning import split_rejected
+    from tradeledger.operators.quarantine import write_quarantine
+
+    spark.range(1000).select("id", F.when(F.col("id") % 7 > 0, F.col("id") - 20.0).alias("price")).write.parquet(str(tmp_path / "in"))
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    df = spark.read.parquet(str(tmp_path / "in")).mapInArrow(counted, "id long, price double")
+    rules = [("missing_price", F.col("price").isNull()), ("negative_price", F.col("price") < 0), ("odd", F.col("id") % 2 == 1)]
+    done = write_quarantine(df, rules, str(tmp_path / "out"))
+    assert reads.value == 1000
+    kept, gone = split_rejected(df, [(n, F.coalesce(c, F.lit(False))) for n, c in rules])
+    assert sorted(map(tuple, done.accepted.collect())) == sorted(map(tuple, kept.collect()))
+    assert sorted(map(str, done.rejected.collect())) == sorted(map(str, gone.collect()))
+    assert done.counts["rows"] == 1000 and done.counts["accepted"] == kept.count() and done.counts["reason__odd"] == 500

@@ -149,6 +149,18 @@ def test_star_schema_is_closed(fact):
     assert credit["credit_card"] == ("Card", "Credit Card") and credit["unknown"] == ("Other", "Unknown")
 
 
+def test_every_column_of_the_star_is_asked_for(fact):
+    assert {"payment_count", "total_payment_value", "review_count", "estimated_delay_days"} <= star.required_columns()
+    for c in sorted(star.required_columns()):
+        with pytest.raises(ValueError, match=f"columns missing in the fact: {c}$"):
+            star.star_schema(fact.drop(c))
+
+
+def test_all_foreign_keys_take_one_exchange_of_keys(fact):
+    plan = star.foreign_key_checks(star.star_schema(fact))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and plan.count("Aggregate [name") == 2  # keys, then names
+
+
 def test_star_checks_find_open_and_repeated_keys(fact):
     tables = star.star_schema(fact)
     broken = {**tables, "dim_seller": tables["dim_seller"].filter("seller_state = 'NATION_1'")}

@@ -18,11 +18,12 @@ def file_format(path: str) -> str:
     return FORMATS.get(ending, ending or "unknown")
 
 
-def asset_catalog(assets: list[dict], frames: dict[str, DataFrame]) -> DataFrame:
+def asset_catalog(assets: list[dict], frames: dict[str, DataFrame], counts: dict[str, int] | None = None) -> DataFrame:
     """One row per asset: zone, format, grain, key, row and column count, publishable.
 
-    Counts of Parquet assets come from file footers; no column is read.
+    ``counts`` are row counts that are known already (`readers.footer_counts`); other frames are counted.
     """
+    counts = counts or {}
     parts = []
     for a in assets:
         df = frames[a["asset_name"]]
@@ -37,7 +38,10 @@ def asset_catalog(assets: list[dict], frames: dict[str, DataFrame]) -> DataFrame
             "column_count": len(df.columns),
             "publication_ready": bool(a.get("publication_ready", False)),
         }
-        counted = df.agg(F.count(F.lit(1)).alias("record_count"))
+        if a["asset_name"] in counts:
+            counted = df.sparkSession.range(1).select(F.lit(counts[a["asset_name"]]).cast("long").alias("record_count"))
+        else:
+            counted = df.agg(F.count(F.lit(1)).alias("record_count"))
         parts.append(counted.select(*[F.lit(v).alias(k) for k, v in fixed.items()], "record_count"))
     return reduce(DataFrame.unionByName, parts)
 

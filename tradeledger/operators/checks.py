@@ -38,7 +38,11 @@ HIGH_NULL_PCT = 30.0
 
 @dataclass(frozen=True)
 class Check:
-    """``metric`` is an aggregate; ``status`` maps the finished metric (and row count) to a status."""
+    """``metric`` is an aggregate; ``status`` maps the finished metric (and row count) to a status.
+
+    Checks that count offending rows also say which (``bad_rows``) and how the count becomes the
+    metric (``from_counts``, of offending rows and rows), so that counts of parts can be merged.
+    """
 
     name: str
     metric: Column
@@ -46,6 +50,8 @@ class Check:
     threshold: float
     severity: str
     details: str = ""
+    bad_rows: Column | None = None
+    from_counts: Callable[[Column, Column], Column] = lambda bad, rows: bad
 
 
 def _pass_if(ok: Column) -> Column:
@@ -53,16 +59,21 @@ def _pass_if(ok: Column) -> Column:
 
 
 def none_allowed(name: str, bad_rows: Column, severity: str, details: str = "") -> Check:
-    return Check(name, count_where(bad_rows), lambda m, n: _pass_if(m == 0), 0.0, severity, details)
+    return Check(name, count_where(bad_rows), lambda m, n: _pass_if(m == 0), 0.0, severity, details, bad_rows)
 
 
 def at_most_pct(name: str, bad_rows: Column, limit: float, severity: str, details: str = "") -> Check:
     metric = F.round(F.coalesce(pct(bad_rows), F.lit(0.0)), 2)
-    return Check(name, metric, lambda m, n: _pass_if(m <= limit), limit, severity, details)
+
+    def merged(bad: Column, rows: Column) -> Column:
+        share_of = F.when(rows > 0, bad.cast("double") / F.nullif(rows, F.lit(0)) * 100)
+        return F.round(F.coalesce(share_of, F.lit(0.0)), 2)
+
+    return Check(name, metric, lambda m, n: _pass_if(m <= limit), limit, severity, details, bad_rows, merged)
 
 
 def at_least_rows(name: str, minimum: int, severity: str = "high", details: str = "") -> Check:
-    return Check(name, F.count(F.lit(1)), lambda m, n: _pass_if(m >= minimum), float(minimum), severity, details)
+    return Check(name, F.count(F.lit(1)), lambda m, n: _pass_if(m >= minimum), float(minimum), severity, details, F.lit(True))
 
 
 def always_failing(name: str, metric: float, threshold: float, severity: str, details: str) -> Check:
@@ -73,7 +84,18 @@ def evaluate(df: DataFrame, checks: list[Check], by: list[str] | None = None) ->
     """Rows (by..., check_name, status, metric_value, threshold, severity, details)."""
     by = by or []
     metrics = [c.metric.alias(f"_m{i}") for i, c in enumerate(checks)]
-    wide = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *metrics)
+    return _check_rows(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *metrics), checks, by)
+
+
+def evaluate_counts(counts: DataFrame, checks: list[Check]) -> DataFrame:
+    """As ``evaluate`` from one row of counts: rows, and bad_0, bad_1, ... for the checks with ``bad_rows``."""
+    metrics = [
+        (c.metric if c.bad_rows is None else c.from_counts(F.max(f"bad_{i}"), F.max("rows"))).alias(f"_m{i}") for i, c in enumerate(checks)
+    ]
+    return _check_rows(counts.agg(F.coalesce(F.max("rows"), F.lit(0)).alias("_rows"), *metrics), checks, [])
+
+
+def _check_rows(wide: DataFrame, checks: list[Check], by: list[str]) -> DataFrame:
     rows = [
         F.struct(
             F.lit(c.name).alias("check_name"),
@@ -123,6 +145,7 @@ def temporal_coherence() -> list[Check]:
             MAX_DELIVERY_BEFORE_APPROVAL_PCT,
             "medium",
             "delivered before approval; a small residue is only a warning",
+            delivered < approved,
         ),
     ]
 

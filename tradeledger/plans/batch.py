@@ -208,7 +208,8 @@ def asset_catalog(run: Run) -> None:
     for name in marts.MARTS:
         frames[name] = run.read("semantic", name)
         assets.append({"asset_name": name, "zone": "semantic", "path": f"{name}.parquet", "publication_ready": True})
-    writers.write_parquet(catalog.asset_catalog(assets, frames), run.path("monitoring", "catalog.parquet"))
+    counts = readers.footer_counts(run.spark, {a["asset_name"]: run.path(a["zone"], a["path"]) for a in assets})
+    writers.write_parquet(catalog.asset_catalog(assets, frames, counts), run.path("monitoring", "catalog.parquet"))
 
 
 def sql_reports(run: Run) -> DataFrame:

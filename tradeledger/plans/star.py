@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeledger.functions.scalars import date_key, display_label, mapped, month_key, pseudonym
@@ -25,12 +25,6 @@ STATUS_GROUPS = {
     "unavailable": "Exception",
     "canceled": "Exception",
 }
-REQUIRED = [
-    "order_id", "order_item_id", "customer_id", "customer_unique_id", "product_id", "seller_id",
-    "order_status", "order_date", "order_purchase_timestamp", "product_category_name",
-    "product_category_name_english", "payment_type_mode", "customer_state", "seller_state",
-    "price", "freight_value", "total_item_value", "is_delayed",
-]
 PRODUCT_ATTRIBUTES = [
     "product_category_name", "product_category_name_english", "category_label", "product_name_lenght",
     "product_description_lenght", "product_photos_qty", "product_weight_g", "product_length_cm",
@@ -38,9 +32,28 @@ PRODUCT_ATTRIBUTES = [
 ]
 
 
+#: Columns of the fact that the star's fact table carries as they are.
+CARRIED_TIMES = ["order_purchase_timestamp", "order_approved_at", "order_delivered_customer_date", "order_estimated_delivery_date"]
+CARRIED_MEASURES = [
+    "price", "freight_value", "total_item_value", "payment_count", "total_payment_value", "max_payment_installments",
+    "review_count", "review_score_mean",
+]
+CARRIED_DELIVERY = ["delivery_time_days", "estimated_delay_days", "is_delayed"]
+CUSTOMER_ATTRIBUTES, SELLER_ATTRIBUTES = ["customer_unique_id", "customer_state"], ["seller_state"]
+#: Columns that keys, labels and dates are made from.
+SOURCES = ["order_id", "order_item_id", "product_id", "seller_id", "customer_id", "order_date", "payment_type_mode", "order_status"]
+
+
+def required_columns() -> set[str]:
+    """Every column of the fact that a table of the star is made from."""
+    made = {"category_label"}
+    attributes = PRODUCT_ATTRIBUTES + CUSTOMER_ATTRIBUTES + SELLER_ATTRIBUTES
+    return {*SOURCES, *attributes, *CARRIED_TIMES, *CARRIED_MEASURES, *CARRIED_DELIVERY} - made
+
+
 def normalise_for_bi(fact: DataFrame) -> DataFrame:
     """Required columns present, labels filled and trimmed, delay flag never null."""
-    missing = sorted(set(REQUIRED) - set(fact.columns))
+    missing = sorted(required_columns() - set(fact.columns))
     if missing:
         raise ValueError(f"columns missing in the fact: {', '.join(missing)}")
 
@@ -111,7 +124,7 @@ def dim_order_status(df: DataFrame) -> DataFrame:
 
 
 def dim_customer(df: DataFrame) -> DataFrame:
-    return _keyed(df, "customer_id", ["customer_unique_id", "customer_state"]).select(
+    return _keyed(df, "customer_id", CUSTOMER_ATTRIBUTES).select(
         pseudonym("customer_id", "customer_id").alias("customer_key"),
         pseudonym("customer_unique_id", "customer_unique_id").alias("customer_master_key"),
         "customer_state",
@@ -119,7 +132,7 @@ def dim_customer(df: DataFrame) -> DataFrame:
 
 
 def dim_seller(df: DataFrame) -> DataFrame:
-    return _keyed(df, "seller_id", ["seller_state"]).select(
+    return _keyed(df, "seller_id", SELLER_ATTRIBUTES).select(
         pseudonym("seller_id", "seller_id").alias("seller_key"), "seller_state"
     )
 
@@ -149,22 +162,10 @@ def fact_sales(df: DataFrame, payments: DataFrame, statuses: DataFrame) -> DataF
         "order_status_key",
         pseudonym("customer_id", "customer_id").alias("customer_key"),
         seller_key.alias("seller_key"),
-        "order_purchase_timestamp",
-        "order_approved_at",
-        "order_delivered_customer_date",
-        "order_estimated_delivery_date",
-        "price",
-        "freight_value",
-        "total_item_value",
-        "payment_count",
-        "total_payment_value",
-        "max_payment_installments",
-        "review_count",
-        "review_score_mean",
+        *CARRIED_TIMES,
+        *CARRIED_MEASURES,
         F.col("review_score_mean").isNotNull().cast("int").alias("review_available"),
-        "delivery_time_days",
-        "estimated_delay_days",
-        "is_delayed",
+        *CARRIED_DELIVERY,
         F.col("order_delivered_customer_date").isNotNull().cast("int").alias("delivered_flag"),
     )
 
@@ -226,12 +227,32 @@ def primary_key_checks(tables: dict[str, DataFrame], keys: dict[str, str] | None
 
 
 def foreign_key_checks(tables: dict[str, DataFrame], keys: dict[str, str] | None = None) -> DataFrame:
-    """Distinct fact keys without a dimension row, per foreign key."""
-    parts = [
-        _check(missing_keys(tables["fact_sales"], fk, tables[dim], fk), f"foreign_key__{fk}", F.count(F.lit(1)), dim)
-        for fk, dim in (keys or FOREIGN_KEYS).items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """Distinct fact keys without a dimension row, for all foreign keys at once.
+
+    Fact and dimensions become tagged (name, key) rows that merge before one shuffle, instead of a
+    join and a shuffle of the fact's keys for each foreign key.
+    """
+    keys = keys or FOREIGN_KEYS
+
+    def tagged(df: DataFrame, name: str, column: str, in_fact: bool) -> Column:
+        return F.struct(F.lit(name).alias("name"), F.col(column).cast("string").alias("key"), F.lit(in_fact).alias("fact"), F.lit(not in_fact).alias("dim"))
+
+    fact = tables["fact_sales"]
+    sides = [fact.select(F.inline(F.array(*[tagged(fact, fk, fk, True) for fk in keys])))]
+    sides += [tables[dim].select(F.inline(F.array(tagged(tables[dim], fk, fk, False)))) for fk, dim in keys.items()]
+    met = reduce(DataFrame.unionByName, sides).groupBy("name", "key").agg(F.max("fact").alias("fact"), F.max("dim").alias("dim"))
+    failed = count_where(F.col("key").isNotNull() & F.col("fact") & ~F.col("dim"))
+    counted = met.groupBy("name").agg(failed.alias("failed"))
+    # a key that no side has yet still has its row
+    wide = counted.agg(*[F.coalesce(F.max(F.when(F.col("name") == fk, F.col("failed"))), F.lit(0)).alias(fk) for fk in keys])
+    rows = [
+        F.struct(
+            F.lit(f"foreign_key__{fk}").alias("check_name"), F.when(F.col(fk) == 0, "PASS").otherwise("FAIL").alias("status"),
+            F.col(fk).alias("failed_rows"), F.lit(dim).alias("details"),
+        )
+        for fk, dim in keys.items()
+    ]
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def generic_headers(df: DataFrame) -> list[str]:

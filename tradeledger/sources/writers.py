@@ -49,6 +49,29 @@ def write_summary_json(checks: DataFrame, path: str, generated_at: str, array: s
     doc.coalesce(1).write.mode("overwrite").json(path)
 
 
+def write_group_documents(checks: DataFrame, path: str, by: list[str], generated_at: str, array: str = "checks") -> DataFrame:
+    """One JSON document for each group of checks, and a manifest; returns the manifest.
+
+    A document holds the declared checks of its group and no more. Documents are written sorted by
+    range, so no task holds more than its share of the groups; the manifest has a row a file with its
+    first and last group and the totals, and tells where a group's document is.
+    """
+    rest = [c for c in checks.columns if c not in by]
+    totals = (F.count(F.lit(1)).alias("total_checks"), F.count(F.when(F.col("status") == "FAIL", 1)).alias("failed_checks"))
+    documents = checks.groupBy(*by).agg(*totals, F.sort_array(F.collect_list(F.struct(*rest))).alias(array))
+    documents = documents.select(F.lit(generated_at).alias("generated_at_utc"), *by, "total_checks", "failed_checks", array)
+    documents.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite").json(f"{path}/documents")
+    spark = checks.sparkSession
+    written = spark.read.schema(documents.schema).json(f"{path}/documents").select("*", F.col("_metadata.file_name").alias("file_name"))
+    key = F.struct(*by)
+    manifest = written.groupBy("file_name").agg(
+        F.min(key).alias("first_group"), F.max(key).alias("last_group"), F.count(F.lit(1)).alias("documents"),
+        F.sum("total_checks").alias("total_checks"), F.sum("failed_checks").alias("failed_checks"),
+    )
+    manifest.coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
+    return spark.read.schema(manifest.schema).json(f"{path}/manifest")
+
+
 def write_scorecards_json(metrics: DataFrame, scorecards: DataFrame, path: str, generated_at: str) -> None:
     """Metrics and dataset scorecards in one document."""
 
