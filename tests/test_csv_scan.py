@@ -1,8 +1,12 @@
 """The quote-aware CSV scan against an independent reader, cut at every byte."""
 
+import random
+
 import duckdb
+import numpy as np
 import pytest
 
+from tradeledger.session import stage
 from tradeledger.sources import csv_scan, readers
 
 ODD = (
@@ -27,19 +31,30 @@ def other_reader(path):
 
 
 @pytest.fixture
-def cut(spark):
-    """Sets the largest split in bytes."""
+def cut(spark, monkeypatch):
+    """Sets the largest split in bytes while the CSV files are read; staged tables are read as usual."""
     names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
     before = {n: spark.conf.get(n, None) for n in names}
 
+    def back():
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+    def staged(df, name):
+        out = stage(df, name)
+        if name == "csv-splits":
+            return spark.createDataFrame(out.toPandas(), out.schema)
+        back()
+        return out
+
     def to(size):
+        monkeypatch.setattr(csv_scan, "stage", staged)
         spark.conf.set(names[0], str(size))
         spark.conf.set(names[1], "1000000")  # else the files are cut by the number of cores
         spark.conf.set(names[2], "1")
 
     yield to
-    for n, v in before.items():
-        spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+    back()
 
 
 def texts(df):
@@ -63,24 +78,31 @@ def test_splits_at_every_byte(spark, tmp_path, cut):
     path = tmp_path / "t.csv"
     path.write_bytes(ODD.encode())
     want = other_reader(path)
-    for size in range(1, len(ODD.encode()), 6):
+    for size in (1, 3, 17, 58):  # splits begin at every byte, at every third, ...
         cut(size)
         assert texts(csv_scan.scan(spark, str(path)).rows) == want, size
 
 
-def test_states_of_splits_compose(spark, tmp_path, cut):
-    path = tmp_path / "t.csv"
-    path.write_bytes(ODD.encode())
-    cut(1)
-    splits = csv_scan.survey(spark, str(path))
-    opened = {r["block"] for r in csv_scan._open_splits(splits).collect()}
-    data, inside = ODD.encode(), set()
-    quoted = False  # in this file every quote outside of plain text toggles the state
-    for i, c in enumerate(data.replace(b'plain "text"', b"plain _text_")):
-        if quoted and data[i - 1 : i] == b"\n":
-            inside.add(i)
-        quoted ^= c == ord('"')
-    assert opened == inside and len(opened) > 5
+def test_transitions_compose_in_file_order(spark):
+    rng, rows, want = random.Random(5), [], set()
+    for f in range(4):
+        state = 0
+        for block in range(40):
+            code = rng.choices((csv_scan.TO_OUTSIDE, csv_scan.SWAP, csv_scan.SAME, csv_scan.TO_INSIDE), (1, 4, 4, 1))[0]
+            if state:
+                want.add((f"f{f}", block * 10))
+            rows.append((f"f{f}", block * 10, code, False))
+            state = code >> state & 1
+        codes = np.array([r[2] for r in rows if r[0] == f"f{f}"])
+        for entry in (0, 1):
+            state, naive = entry, []
+            for c in codes.tolist():
+                state = c >> state & 1
+                naive.append(state)
+            assert csv_scan._behind(codes, entry).tolist() == naive
+    rng.shuffle(rows)
+    splits = spark.createDataFrame(rows, "file string, block long, transition int, broken boolean")
+    assert {tuple(r) for r in csv_scan._open_splits(splits).collect()} == want and len(want) > 20
 
 
 def test_several_files_rejects_and_latin_1(spark, tmp_path, cut):
