@@ -67,6 +67,7 @@ def map_texts(
     replace_text: bool = False,
     inputs: list[str] | None = None,
     slice_rows: int | None = None,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Columns ``keep`` (all by default) and new ones computed from the UTF-8 bytes of ``text``.
 
@@ -93,7 +94,7 @@ def map_texts(
         for batch in sliced(batches, slice_rows):
             texts = batch.column(own).cast(pa.binary()).to_pylist()
             others = [batch.column(begin + i).to_pylist() for i in range(n_inputs)]
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, chunk_bytes):
                 values = step(texts[a:b], *[o[a:b] for o in others])
                 columns = [batch.column(i).slice(a, b - a) for i in range(len(keep))]
                 if replace_text:

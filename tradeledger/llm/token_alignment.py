@@ -398,7 +398,8 @@ def short_texts(docs: DataFrame, a_path: str, b_path: str, keep: list[str], dige
 
         return step
 
-    return map_texts(docs, "text", ALIGNED, make, keep, slice_rows=1024)
+    # small chunks: a worker's memory is mostly words and tokens of the chunk at hand
+    return map_texts(docs, "text", ALIGNED, make, keep, slice_rows=256, chunk_bytes=1 << 18)
 
 
 def long_texts(docs: DataFrame, a_path: str, b_path: str, keep: list[str], digest: bool, long_bytes: int, longest: int) -> DataFrame:
