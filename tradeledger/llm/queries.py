@@ -139,6 +139,26 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), "url", keep=["page_id"])
 
 
+URL_RULE_SQL = rf"""
+with u as (
+  select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+h as (
+  select page_id, translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), '{url_filter.UPPER}', '{url_filter.LOWER}') as host,
+    regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) as path from u)
+select page_id, host, path, case {" ".join(
+    f"when (host = '{r.host}' or ends_with(host, '.{r.host}')) and starts_with(path, '{r.path}') then '{r.name}'"
+    for r in sorted(url_filter.RULES, key=lambda r: (-len(r.name), r.name)))} end as rule from h
+"""
+
+
+@query("url_host_rules", URL_RULE_SQL)
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path and fitting rule of every page url, before any model."""
+    host, path = url_filter.host_and_path(F.col("url").cast("string"))
+    rows = table(spark, sf_dir, "pages").select("page_id", host.alias("host"), path.alias("path"))
+    return rows.withColumn("rule", url_filter.matched_rule(F.col("host"), F.col("path"), url_filter.RULES)[0])
+
+
 REPEAT_SQL = """
 with d as (
   select row_number() over () as r, doc_id, encode(coalesce(text, '')) as t, hex(encode(coalesce(text, ''))) as h from documents),
@@ -196,6 +216,31 @@ def quality_rule_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+STATISTICS_SQL = r"""
+with d as (
+  select row_number() over () as r, doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+lines as (select r, unnest(string_split(t, chr(10))) as line from d),
+dups as (select r, count(*) - count(distinct line) as n_dup_lines from lines where regexp_matches(line, '[^\x20\x09-\x0D]') group by r),
+places as (select r, i, array_to_string(w[i:i + 2], ' ') as k from d, unnest(range(1, len(w) - 1)) t(i)),
+often as (select r, k from places group by r, k having count(*) > 1),
+repeats as (select r, count(distinct j) as n_repeat_words from (select r, unnest(range(i, i + 3)) as j from places join often using (r, k)) group by r),
+counted as (
+  select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars,
+    cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols, coalesce(n_dup_lines, 0) as n_dup_lines,
+    coalesce(n_repeat_words, 0) as n_repeat_words
+  from d left join dups using (r) left join repeats using (r))
+select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counted
+"""
+
+
+@query("document_quality_statistics", STATISTICS_SQL)
+def quality_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts that the quality rules test, and the base check, of every document."""
+    measured = quality_rules.with_statistics(table(spark, sf_dir, "documents"), "text", ["doc_id"])
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return measured.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"))
+
+
 MIX_SQL = r"""
 with sized as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
