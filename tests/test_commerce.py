@@ -131,6 +131,23 @@ def test_staged_build_gives_the_same_fact(spark, root, rows):
     assert lazy.exceptAll(staged).count() == 0 and staged.exceptAll(lazy).count() == 0
 
 
+@pytest.mark.parametrize("build", [build_fact, build_fact_whole_days])
+def test_wide_rows_are_not_shuffled_for_products_or_sellers(spark, root, small, monkeypatch, build):
+    def shuffled_joins(fact):
+        plan = fact._jdf.queryExecution().optimizedPlan().toString()
+        return [line for line in plan.splitlines() if " Join " in line or ":- Join " in line or "+- Join " in line]
+
+    few = build(small)
+    kept = [line for line in shuffled_joins(few) if "broadcast" not in line]
+    assert "order_id" in kept[0], kept[0]  # the topmost join that may shuffle brings the order columns
+    rows = few.collect()
+    monkeypatch.setattr("tradeledger.plans.fact.BROADCAST_SELLERS", 1)
+    many = build(small)
+    assert not [line for line in shuffled_joins(many) if "broadcast" in line]
+    assert "order_id" in shuffled_joins(many)[0]
+    assert sorted(map(str, many.collect())) == sorted(map(str, rows))
+
+
 def test_whole_day_variant(small, rows):
     got = {(r["order_id"], r["order_item_id"]): r for r in rows(build_fact_whole_days(small))}
     assert sorted(got) == [("o1", 1), ("o2", 1), ("o4", 1)]  # the item without price is dropped

@@ -60,10 +60,10 @@ def seller_metrics(
 
     Items are first counted per (seller, order). That makes the distinct order count a
     plain count, shrinks the input of the join, and spreads a dominant seller over all
-    its orders before anything is grouped by seller.
+    its orders before anything is grouped by seller. The count shares the join's shuffle.
     """
     size = F.count(F.lit(1)) if copies is None else F.sum(copies)
-    per_order = items.groupBy("seller_id", "order_id").agg(size.alias("_items"))
+    per_order = items.repartition("order_id").groupBy("seller_id", "order_id").agg(size.alias("_items"))
     dated = per_order.join(
         orders.select("order_id", delivery_days.alias("_days"), delayed.alias("_late")), "order_id", "left"
     )

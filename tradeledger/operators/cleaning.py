@@ -61,13 +61,6 @@ def keep_one(df: DataFrame, keys: list[str], order: list[str] | None = None) ->
     return first.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def keep_one_counting(df: DataFrame, keys: list[str], order: list[str], copies: str) -> DataFrame:
-    """As `keep_one`, plus the number of rows that shared the key."""
-    rest = order + [c for c in df.columns if c not in keys and c not in order]
-    first = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"), F.count(F.lit(1)).alias(copies))
-    return first.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns], copies)
-
-
 def distinct_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 

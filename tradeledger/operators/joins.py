@@ -33,6 +33,12 @@ def left_join_m1(left: DataFrame, right: DataFrame, on: list[str], keyed: bool =
     return left.join(right if keyed else unique_side(right, on), on, "left")
 
 
+def few_keys(tables: list[DataFrame], key: str, bound: int) -> bool:
+    """True if no table has more than ``bound`` values of ``key`` (estimated, 5 %); reads that column only."""
+    counts = [df.agg(F.approx_count_distinct(key)).first()[0] for df in tables]
+    return max(counts) <= bound
+
+
 def missing_keys(fact: DataFrame, fk: str, dim: DataFrame, pk: str) -> DataFrame:
     """Distinct non-null ``fk`` values of the fact without a row in the dimension."""
     keys = fact.filter(F.col(fk).isNotNull()).select(F.col(fk).alias(pk)).distinct()

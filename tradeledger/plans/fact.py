@@ -1,10 +1,11 @@
 """The item-grain wide fact.
 
 Shape of the plan: everything that belongs to an order (customer, history, payments,
-reviews) is joined at order grain first, where keys are unique and rows are few. The item
-table then meets it in a single join on order_id, which adaptive execution may split when
-one order is hot. Every right side is an aggregate keyed by its join key, so a query that
-reads only a few fact columns loses the joins it does not need.
+reviews) is joined at order grain first, where keys are unique and rows are few. The customer
+and the history are found from the keys of the orders alone. The item table meets products and
+sellers while its rows are narrow, and the orders, which have most of the columns, last (only
+sellers that are broadcast come later): a row is not shuffled again once it has them. Every right side is an aggregate keyed by its join key,
+so a query that reads only a few fact columns loses the joins it does not need.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from tradeledger.functions.scalars import (
 from tradeledger.operators import aggregates as agg
 from tradeledger.operators import cleaning as cl
 from tradeledger.operators.cohorts import first_purchase, purchase_sequence
-from tradeledger.operators.joins import left_join_m1
+from tradeledger.operators.joins import few_keys, left_join_m1
 from tradeledger.session import stage
 from tradeledger.sources.commerce import Commerce
 
@@ -34,6 +35,9 @@ CARRIER = "order_delivered_carrier_date"
 DELIVERED = "order_delivered_customer_date"
 ESTIMATED = "order_estimated_delivery_date"
 
+# Fixed value: sellers up to this number are broadcast (about 200 bytes each).
+BROADCAST_SELLERS = 500_000
+
 FACT_COLUMNS = [
     "order_id", "order_item_id", "customer_id", "customer_unique_id", "product_id", "seller_id",
     "order_status", PURCHASE, APPROVED, "shipping_limit_date", CARRIER, DELIVERED, ESTIMATED,
@@ -52,13 +56,21 @@ FACT_COLUMNS = [
 ]
 
 
-def _with_history(orders: DataFrame, active: DataFrame) -> DataFrame:
-    """Customer history columns; only ``active`` orders count as purchases."""
-    with_first = left_join_m1(orders, first_purchase(active), ["customer_unique_id"], keyed=True)
+def _owners(orders: DataFrame, t: Commerce) -> DataFrame:
+    """(order_id, purchase time, customer columns) of the orders: the keys that lead to a customer's history."""
+    keys = orders.select("order_id", "customer_id", PURCHASE)
+    return left_join_m1(keys, cl.clean_customers(t.customers), ["customer_id"], keyed=True).drop("customer_id")
+
+
+def _with_history(orders: DataFrame, owners: DataFrame, active: DataFrame) -> DataFrame:
+    """Customer and history columns of the orders; only ``active`` orders count as purchases."""
+    with_first = left_join_m1(owners, first_purchase(active), ["customer_unique_id"], keyed=True)
     grouped = with_first.withColumn("customer_group", F.struct("customer_unique_id"))
-    return left_join_m1(grouped, purchase_sequence(active), ["customer_group", PURCHASE], keyed=True).drop(
-        "customer_group"
-    )
+    known = left_join_m1(grouped, purchase_sequence(active), ["customer_group", PURCHASE], keyed=True)
+    # one row an order already; the aggregate only tells the optimizer so
+    found = [c for c in known.columns if c not in ("order_id", "customer_group", PURCHASE)]
+    keyed = known.groupBy("order_id").agg(*[F.first(c).alias(c) for c in found])
+    return left_join_m1(orders, keyed, ["order_id"], keyed=True)
 
 
 def _order_calendar(orders: DataFrame, duration) -> DataFrame:
@@ -79,15 +91,42 @@ def _order_calendar(orders: DataFrame, duration) -> DataFrame:
     )
 
 
-def _enrich(items: DataFrame, orders: DataFrame, t: Commerce, metrics: DataFrame) -> DataFrame:
-    """The item table joined to the order, product, translation, seller and metric sides."""
+def _with_products(items: DataFrame, t: Commerce) -> DataFrame:
     products = left_join_m1(
         cl.clean_products(t.products), cl.clean_translation(t.translation), ["product_category_name"], keyed=True
     )
-    fact = left_join_m1(items, orders, ["order_id"], keyed=True)
-    fact = left_join_m1(fact, products, ["product_id"], keyed=True)
-    fact = left_join_m1(fact, cl.clean_sellers(t.sellers), ["seller_id"], keyed=True)
-    return left_join_m1(fact, metrics, ["seller_id"], keyed=True)
+    return left_join_m1(items, products, ["product_id"], keyed=True)
+
+
+def _enrich(items: DataFrame, orders: DataFrame, t: Commerce, metrics: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """The item table joined to the product, translation, seller, metric and order sides.
+
+    With ``order`` items that share a grain are cut to the first. Sellers that are few enough are
+    broadcast to the finished rows; more are joined while the rows are narrow.
+    """
+    few = few_keys([t.items, t.sellers], "seller_id", BROADCAST_SELLERS)
+
+    def with_sellers(rows: DataFrame) -> DataFrame:
+        for side in (cl.clean_sellers(t.sellers), metrics):
+            rows = left_join_m1(rows, F.broadcast(side) if few else side, ["seller_id"], keyed=True)
+        return rows
+
+    rows = _with_products(items, t)
+    rows = rows if few else with_sellers(rows)
+    rows = _one_per_grain(rows, order) if order else rows
+    rows = left_join_m1(rows, orders, ["order_id"], keyed=True)
+    return with_sellers(rows) if few else rows
+
+
+def _one_per_grain(rows: DataFrame, order: list[str]) -> DataFrame:
+    """The first row of a repeated grain by ``order``, on the shuffle that the join to the orders needs.
+
+    All other columns belong to the product or the seller, which are part of the grain.
+    """
+    made = [F.min(F.struct(*order)).alias("_first")]
+    made += [F.first(c).alias(c) for c in rows.columns if c not in (*cl.GRAIN, *order)]
+    first = rows.repartition("order_id").groupBy(*cl.GRAIN).agg(*made)
+    return first.select(*[F.col(f"_first.{c}").alias(c) if c in order else F.col(c) for c in rows.columns])
 
 
 def build_fact(t: Commerce, tier_bounds: tuple[int, ...] = agg.TIER_BOUNDS, staged: bool = False) -> DataFrame:
@@ -99,15 +138,15 @@ def build_fact(t: Commerce, tier_bounds: tuple[int, ...] = agg.TIER_BOUNDS, stag
     time. The default stays lazy, which is better for a query that needs few columns.
     """
     # the first row of a repeated grain survives; the seller metrics still count all of them
-    items = cl.keep_one_counting(cl.clean_items(t.items), cl.GRAIN, ["shipping_limit_date"], "item_copies")
+    items = cl.clean_items(t.items)
     items = stage(items, "items") if staged else items
     orders = cl.clean_orders(t.orders)
     sold = items.select("order_id").distinct()
 
-    order_side = left_join_m1(orders, cl.clean_customers(t.customers), ["customer_id"], keyed=True)
-    active = order_side.join(sold, "order_id", "left_semi").select("order_id", "customer_unique_id", PURCHASE)
+    owners = _owners(orders, t)
+    active = owners.join(sold, "order_id", "left_semi").select("order_id", "customer_unique_id", PURCHASE)
     active = stage(active, "active_orders") if staged else active
-    order_side = _with_history(order_side, active)
+    order_side = _with_history(orders, owners, active)
     order_side = _order_calendar(order_side, days_between)
     order_side = left_join_m1(
         order_side, agg.payments_by_order(cl.distinct_rows(t.payments)), ["order_id"], keyed=True
@@ -115,14 +154,9 @@ def build_fact(t: Commerce, tier_bounds: tuple[int, ...] = agg.TIER_BOUNDS, stag
     order_side = left_join_m1(order_side, agg.reviews_by_order(cl.distinct_rows(t.reviews)), ["order_id"], keyed=True)
 
     metrics = agg.seller_metrics(
-        items,
-        orders,
-        days_between(PURCHASE, DELIVERED),
-        later_than(DELIVERED, ESTIMATED),
-        tier_bounds,
-        copies="item_copies",
+        items, orders, days_between(PURCHASE, DELIVERED), later_than(DELIVERED, ESTIMATED), tier_bounds
     )
-    fact = _enrich(items.drop("item_copies"), order_side, t, metrics)
+    fact = _enrich(items, order_side, t, metrics, ["shipping_limit_date", "price", "freight_value"])
     fact = fact.withColumns(
         {
             "is_delayed": F.coalesce("is_delayed", F.lit(False)),
@@ -137,8 +171,8 @@ def build_fact_whole_days(t: Commerce, tier_bounds: tuple[int, ...] = agg.TIER_B
     """The SQL-model variant: whole-day durations, rows without price dropped, history over all orders."""
     items = cl.stage_items(t.items)
     orders = cl.clean_orders(t.orders)
-    order_side = left_join_m1(orders, cl.clean_customers(t.customers), ["customer_id"], keyed=True)
-    order_side = _with_history(order_side, order_side.filter(F.col("customer_unique_id").isNotNull()))
+    owners = _owners(orders, t)
+    order_side = _with_history(orders, owners, owners.filter(F.col("customer_unique_id").isNotNull()))
     order_side = _order_calendar(order_side, whole_days_between)
     payments = agg.payments_by_order(cl.stage_payments(t.payments), null_total_as_zero=False)
     reviews = agg.reviews_by_order(cl.stage_reviews(t.reviews))
