@@ -1,13 +1,19 @@
 """Partition states: reruns read changed partitions only, and agree with a full run."""
 
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
+
 from tradeledger.operators import checks as ck
 from tradeledger.operators import profiling as pf
 from tradeledger.operators import states
 from tradeledger.plans.fact import build_fact
 from tradeledger.sources.commerce import commerce
+from workload import state_queries
+from workload.quality_queries import MIN_ROWS
 
 
 @pytest.fixture(scope="module")
@@ -92,3 +98,26 @@ def test_no_cells_are_shuffled(spark):
     df = spark.range(100).select("id", F.col("id").cast("string").alias("s")).withColumn(states.PART, F.lit("a"))
     plan = states.column_states(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Expand" not in plan
+
+
+def test_row_checks_need_no_other_columns(fact):
+    """The columns that a table of checks keeps, and that no column of it is kept for nothing."""
+    checks = ck.row_checks(fact.columns, 10)
+    assert rows(ck.evaluate(fact.select(*ck.ROW_CHECK_COLUMNS), checks)) == rows(ck.evaluate(fact, checks))
+    for c in ck.ROW_CHECK_COLUMNS:
+        with pytest.raises(AnalysisException):
+            ck.evaluate(fact.select(*ck.ROW_CHECK_COLUMNS).drop(c), checks).collect()
+
+
+def test_the_fact_is_computed_once_for_both_check_runs(spark, root, monkeypatch):
+    plans = []
+
+    def seen(*names):
+        plans.append(build_fact(commerce(spark, root), (490, 560, 610)))
+        return plans[-1]
+
+    monkeypatch.setattr(state_queries, "fact", seen)
+    monkeypatch.setattr(DataFrame, "persist", lambda self, *level: pytest.fail("whole rows of the fact are kept"))
+    checks = queries()["incremental_row_checks_after_a_change"](spark, root)
+    full = ck.evaluate(plans[0], ck.row_checks(plans[0].columns, MIN_ROWS)).drop("details")
+    assert len(plans) == 1 and rows(checks) == rows(full)

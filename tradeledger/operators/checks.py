@@ -24,6 +24,12 @@ CRITICAL_COLUMNS = [
     "order_purchase_timestamp", "price", "freight_value",
 ]
 GRAIN = ["order_id", "order_item_id", "product_id", "seller_id"]
+COVERED_COLUMNS = ["customer_unique_id", "customer_state", "seller_state", "payment_type_mode"]
+#: Every column that `row_checks` reads.
+ROW_CHECK_COLUMNS = CRITICAL_COLUMNS + [
+    "order_approved_at", "order_delivered_customer_date", "review_score_mean", "product_category_name",
+    "estimated_delay_days", *COVERED_COLUMNS,
+]
 MAX_REVIEW_MISSING_PCT = 35.0
 MAX_CATEGORY_MISSING_PCT = 5.0
 MAX_UNDELIVERED_PCT = 5.0
@@ -174,7 +180,7 @@ def delay_null_consistency() -> list[Check]:
 
 def dimension_coverage(columns: list[str]) -> list[Check]:
     checks = []
-    for c in ("customer_unique_id", "customer_state", "seller_state", "payment_type_mode"):
+    for c in COVERED_COLUMNS:
         name = f"dimension_join_missing_pct__{c}"
         if c in columns:
             checks.append(at_most_pct(name, F.col(c).isNull(), MAX_JOIN_MISSING_PCT, "medium", f"rows without {c}"))

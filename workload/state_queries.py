@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tradeledger.operators import cleaning, states
-from tradeledger.operators.checks import Check, evaluate, negative_values
+from tradeledger.operators.checks import ROW_CHECK_COLUMNS, Check, evaluate, negative_values
 from tradeledger.operators.comoments import wide_correlation
 from tradeledger.operators.profiling import column_counts
 from tradeledger.operators.quarantine import write_quarantine
-from tradeledger.session import shared_path
+from tradeledger.session import shared_path, stage
 from tradeledger.sources import readers, writers
 from tradeledger.sources.commerce import commerce, table
 from workload.base import query
@@ -23,12 +23,14 @@ KEY_CHECKS = "('expected_schema', 'granularity_duplicates', 'payment_reconciliat
 def _(spark, root):
     """Row checks of the fact from stored states, after one year has been replaced."""
     path, store = shared_path(spark, "checked-fact"), shared_path(spark, "check-states")
-    rows = fact(spark, root).persist()
-    last = rows.agg(F.max("order_year")).first()[0]
-    rows.filter(~F.col("order_year").eqNullSafe(last) | (F.col("order_month") < 3)).write.partitionBy("order_year").parquet(path)
+    # the fact is computed and written once, with the columns that the checks read
+    fact(spark, root).select(*ROW_CHECK_COLUMNS, "order_year", "order_month").write.partitionBy("order_year").parquet(path)
+    last = spark.read.parquet(path).agg(F.max("order_year")).first()[0]
+    year = f"{path}/order_year={last}"
+    whole = stage(spark.read.parquet(year), "last-year")
+    whole.filter(F.col("order_month") < 3).write.mode("overwrite").parquet(year)
     states.incremental_row_checks(spark, path, "order_year", store, MIN_ROWS)
-    rows.filter(F.col("order_year") == last).drop("order_year").write.mode("overwrite").parquet(f"{path}/order_year={last}")
-    rows.unpersist()
+    whole.write.mode("overwrite").parquet(year)
     checks, read = states.incremental_row_checks(spark, path, "order_year", store, MIN_ROWS)
     if read != [str(last)]:
         raise RuntimeError(f"read {read}, only {last} has changed")
