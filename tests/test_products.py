@@ -161,6 +161,28 @@ def test_all_foreign_keys_take_one_exchange_of_keys(fact):
     assert "LeftAnti" not in plan and plan.count("Aggregate [name") == 2  # keys, then names
 
 
+def test_key_checks_compute_the_fact_once(fact, monkeypatch):
+    written = []
+    monkeypatch.setattr(star, "stage", lambda df, name: written.append((name, df.columns)) or stage(df, name))
+    tables = star.key_tables(fact)
+    assert written == [("star-keys", star.SOURCES)]
+    for check in (star.primary_key_checks, star.foreign_key_checks):
+        own = check(tables)
+        assert sorted(map(tuple, own.collect())) == sorted(map(tuple, check(star.star_schema(fact)).collect()))
+        # nothing but the staged copy is read
+        assert not set(fact.inputFiles()) & set(own.inputFiles()) and own.inputFiles()
+    twice = star.key_tables(fact.unionByName(fact.limit(3)))
+    assert failed(star.primary_key_checks(twice)) == ["primary_key__fact_sales"]
+
+
+def test_numbered_dimensions_share_one_scan(fact, monkeypatch):
+    written = []
+    monkeypatch.setattr(star, "stage", lambda df, name: written.append(name) or stage(df, name))
+    tables = star.star_schema(fact)
+    assert written == ["star-labels"]
+    assert tables["dim_order_status"].count() == fact.select(F.coalesce("order_status", F.lit("unknown"))).distinct().count()
+
+
 def test_star_checks_find_open_and_repeated_keys(fact):
     tables = star.star_schema(fact)
     broken = {**tables, "dim_seller": tables["dim_seller"].filter("seller_state = 'NATION_1'")}

@@ -12,6 +12,7 @@ from tradeledger.functions.stable import count_where
 from tradeledger.operators.cleaning import keep_one
 from tradeledger.operators.joins import left_join_m1, missing_keys
 from tradeledger.operators.ordered import surrogate_keys
+from tradeledger.session import stage
 
 # Groups shown in the BI model.
 PAYMENT_GROUPS = {"credit_card": "Card", "debit_card": "Card", "voucher": "Voucher", "boleto": "Boleto"}
@@ -146,12 +147,19 @@ def lookup(df: DataFrame, dim: DataFrame, natural: str, dim_natural: str, key: s
     return left_join_m1(df, keys, [natural])
 
 
-def fact_sales(df: DataFrame, payments: DataFrame, statuses: DataFrame) -> DataFrame:
+def fact_sales(df: DataFrame, payments: DataFrame, statuses: DataFrame, keys_only: bool = False) -> DataFrame:
     keyed = lookup(df, payments, "payment_type_mode", "payment_type", "payment_key")
     keyed = lookup(keyed, statuses, "order_status", "order_status", "order_status_key")
     order_key = pseudonym("order_id", "order_id")
     product_key, seller_key = pseudonym("product_id", "product_id"), pseudonym("seller_id", "seller_id")
     item_key = F.concat_ws("_", order_key, F.col("order_item_id").cast("string"), product_key, seller_key)
+    carried = [
+        *CARRIED_TIMES,
+        *CARRIED_MEASURES,
+        F.col("review_score_mean").isNotNull().cast("int").alias("review_available"),
+        *CARRIED_DELIVERY,
+        F.col("order_delivered_customer_date").isNotNull().cast("int").alias("delivered_flag"),
+    ]
     return keyed.select(
         item_key.alias("order_item_key"),
         order_key.alias("order_key"),
@@ -162,11 +170,7 @@ def fact_sales(df: DataFrame, payments: DataFrame, statuses: DataFrame) -> DataF
         "order_status_key",
         pseudonym("customer_id", "customer_id").alias("customer_key"),
         seller_key.alias("seller_key"),
-        *CARRIED_TIMES,
-        *CARRIED_MEASURES,
-        F.col("review_score_mean").isNotNull().cast("int").alias("review_available"),
-        *CARRIED_DELIVERY,
-        F.col("order_delivered_customer_date").isNotNull().cast("int").alias("delivered_flag"),
+        *([] if keys_only else carried),
     )
 
 
@@ -191,7 +195,9 @@ FOREIGN_KEYS = {
 
 def star_schema(fact: DataFrame) -> dict[str, DataFrame]:
     rows = normalise_for_bi(fact)
-    payments, statuses = dim_payment(rows), dim_order_status(rows)
+    # both numbered dimensions from one scan: a row for a pair of labels
+    labels = stage(rows.select("payment_type_mode", "order_status").distinct(), "star-labels")
+    payments, statuses = dim_payment(labels), dim_order_status(labels)
     return {
         "fact_sales": fact_sales(rows, payments, statuses),
         "dim_date": dim_date(rows),
@@ -203,6 +209,28 @@ def star_schema(fact: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def key_tables(fact: DataFrame) -> dict[str, DataFrame]:
+    """The tables of the star with the columns that its key checks read.
+
+    The columns that keys are made from are staged, so that the fact is computed once for all tables.
+    """
+    rows = stage(normalise_for_bi(fact).select(*SOURCES), "star-keys")
+    payments, statuses = dim_payment(rows), dim_order_status(rows)
+
+    def keys(natural: str, key: str) -> DataFrame:
+        return _keyed(rows, natural, []).select(pseudonym(natural, natural).alias(key))
+
+    return {
+        "fact_sales": fact_sales(rows, payments, statuses, keys_only=True),
+        "dim_date": dim_date(rows),
+        "dim_product": keys("product_id", "product_key"),
+        "dim_payment": payments,
+        "dim_order_status": statuses,
+        "dim_customer": keys("customer_id", "customer_key"),
+        "dim_seller": keys("seller_id", "seller_key"),
+    }
+
+
 # ---- checks --------------------------------------------------------------
 
 

@@ -676,7 +676,7 @@ def _check_sql(name: str, failed: str, details: str) -> str:
     ),
 )
 def _(spark, root):
-    return star.primary_key_checks(_star(spark, root))
+    return star.primary_key_checks(star.key_tables(fact(spark, root)))
 
 
 @query(
@@ -691,4 +691,4 @@ def _(spark, root):
     ),
 )
 def _(spark, root):
-    return star.foreign_key_checks(_star(spark, root))
+    return star.foreign_key_checks(star.key_tables(fact(spark, root)))
