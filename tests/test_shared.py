@@ -72,3 +72,23 @@ def test_distinct_counts_of_a_hot_order_and_key(spark):
     assert made.grain([]).first()["orders"] == df.select("o").distinct().count()
     want = {r["k"]: r["n"] for r in df.groupBy("k").agg(F.countDistinct("o").alias("n")).collect()}
     assert {r["k"]: r["orders"] for r in made.grain(["k"]).collect()} == want
+
+
+def test_sets_of_an_entity_and_nothing_wider_are_shuffled(tables, monkeypatch):
+    plans = []
+    monkeypatch.setattr(shared, "stage", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or df)
+    reports.shared_reports(tables[0])
+    marts.shared_marts(tables[1])
+    # one aggregate of the entities with their sets, none of (group, entity) rows or of all keys together
+    assert all("collect_set" in p and p.count("Aggregate [") == 4 for p in plans)
+
+
+def test_null_keys_and_entities_in_several_groups(spark):
+    df = spark.createDataFrame([(None, "a", "x"), (None, "a", "y"), (1, "a", "x"), (1, None, "x"), (2, None, "z"), (1, "b", None)], "k int, o string, c string")
+    made = shared.share(
+        df, {"k": F.col("k"), "c": F.col("c")}, {"all": [], "k": ["k"], "kc": ["k", "c"]}, {"rows": shared.State(F.lit(1).cast("long"), "count")},
+        {"orders": (F.col("o"), ["all", "k", "kc"]), "seen": (F.col("c"), ["k"])}, cells=False,
+    )
+    assert made.grain([]).first()["orders"] == 2
+    assert {(r["k"], r["orders"], r["seen"]) for r in made.grain(["k"]).collect()} == {(None, 1, 2), (1, 2, 1), (2, 0, 1)}
+    assert {(r["k"], r["c"], r["orders"]) for r in made.grain(["k", "c"]).collect()} == {(None, "x", 1), (None, "y", 1), (1, "x", 1), (2, "z", 0), (1, None, 1)}

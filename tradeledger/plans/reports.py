@@ -103,7 +103,8 @@ def shared_reports(fact: DataFrame) -> Shared:
     states |= double_states("late_value", _late_value())
     states |= {name: rows_where(condition()) for name, condition in AUDIT.items()}
     keys = {name: c() for name, c in KEYS.items()}
-    return share(fact, keys, GRAINS, states, {"orders": (F.col("order_id"), list(GRAINS))})
+    # the keys together have nearly as many combinations as there are rows, each grain on its own has few
+    return share(fact, keys, GRAINS, states, {"orders": (F.col("order_id"), list(GRAINS))}, cells=False)
 
 
 def _total(source: DataFrame | Shared, measures: dict[str, Measure]) -> DataFrame:

@@ -1,13 +1,14 @@
 """Aggregates that many reports share: one pass for all groupings instead of one scan a report.
 
 Rows are reduced to mergeable states (sums of whole numbers, counts, maxima) once, at the finest
-grouping, and rolled up by grouping sets. Distinct counts are exact: every (grouping, key, entity)
-is one row of a second aggregate, merged before its shuffle, so a hot key or entity stays spread.
+grouping, and rolled up by grouping sets. Distinct counts are exact: a second aggregate has a row for
+each entity with the sets of its keys, merged before its shuffle, so a hot key or entity stays spread.
 The result has a row a group, and reports are projections of it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -85,6 +86,34 @@ def _grain_name(grains: dict[str, list[str]], keys: list[str], grouping: Column)
     return name
 
 
+def _counted(entities: DataFrame, names: list[str], grains: dict[str, list[str]], distinct: dict[str, tuple[Column, list[str]]]) -> DataFrame:
+    """(grain, kind, key, number of entities) of every grain that a kind of entity is counted for.
+
+    Rows merge to one an entity with the sets of its keys, a set for each grain: only these are shuffled, and
+    a set has no more members than the grain has groups.
+    """
+    types = dict(entities.dtypes)
+    kinds = []
+    for kind, (_, wanted) in distinct.items():
+        used = {k for g in wanted for k in grains[g]}
+        own = [(F.col(k) if k in used else F.lit(None).cast(types[k])).alias(k) for k in names]
+        kinds.append(F.struct(F.lit(kind).alias("_kind"), F.col(f"_e_{kind}").alias("_entity"), *own))
+    each = entities.select(F.inline(F.array(*kinds))).filter(F.col("_entity").isNotNull())
+
+    def group_of(g: str) -> Callable[[Column], Column]:
+        return lambda key: F.struct(
+            F.lit(g).alias(GRAIN), *[(key[k] if k in grains[g] else F.lit(None).cast(types[k])).alias(k) for k in names]
+        )
+
+    sets, members = [], []
+    for i, g in enumerate(dict.fromkeys(g for _, wanted in distinct.values() for g in wanted)):
+        asked = F.col("_kind").isin([kind for kind, (_, wanted) in distinct.items() if g in wanted])
+        sets.append(F.collect_set(F.when(asked, F.struct(F.lit(0).alias("_"), *grains[g]))).alias(f"_s{i}"))
+        members.append(F.transform(f"_s{i}", group_of(g)))
+    met = each.groupBy("_kind", "_entity").agg(*sets).select("_kind", F.inline(F.concat(*members)))
+    return met.groupBy(GRAIN, "_kind", *names).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def share(
     rows: DataFrame,
     keys: dict[str, Column],
@@ -110,16 +139,8 @@ def share(
     nothing = [F.lit(None).cast("long").alias(n) for n in distinct]
     made = rolled.select(_grain_name(grains, names, F.col("_id")).alias(GRAIN), *names, *states, *nothing)
 
-    # (grain, key, kind, entity) once, then counted
-    pairs = []
-    for kind, (entity, wanted) in distinct.items():
-        for g in wanted:
-            masked = [(F.col(k) if k in grains[g] else F.lit(None).cast(rows.select(c).dtypes[0][1])).alias(k) for k, c in keys.items()]
-            pairs.append(F.struct(F.lit(g).alias(GRAIN), F.lit(kind).alias("_kind"), F.col(f"_e_{kind}").alias("_entity"), *masked))
-    if pairs:
-        entities = rows.select(*keyed, *[e.cast("string").alias(f"_e_{k}") for k, (e, _) in distinct.items()])
-        each = entities.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").filter(F.col("_entity").isNotNull())
-        counted = each.distinct().groupBy(GRAIN, "_kind", *names).agg(F.count(F.lit(1)).alias("_n"))
+    if distinct:
+        counted = _counted(rows.select(*keyed, *[e.cast("string").alias(f"_e_{k}") for k, (e, _) in distinct.items()]), names, grains, distinct)
         empty = [F.lit(None).cast(t).alias(n) for n, t in made.dtypes if n in states]
         counts = [F.when(F.col("_kind") == k, F.col("_n")).alias(k) for k in distinct]
         both = made.unionByName(counted.select(GRAIN, *names, *empty, *counts))
