@@ -92,3 +92,14 @@ def test_null_keys_and_entities_in_several_groups(spark):
     assert made.grain([]).first()["orders"] == 2
     assert {(r["k"], r["orders"], r["seen"]) for r in made.grain(["k"]).collect()} == {(None, 1, 2), (1, 2, 1), (2, 0, 1)}
     assert {(r["k"], r["c"], r["orders"]) for r in made.grain(["k", "c"]).collect()} == {(None, "x", 1), (None, "y", 1), (1, "x", 1), (2, "z", 0), (1, None, 1)}
+
+
+def test_a_report_counts_orders_apart_from_its_measures(tables):
+    plan = reports.category_detail(tables[0])._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in plan.splitlines() if "Aggregate [" in line]
+    # the aggregate over (category, order) has no measures
+    assert any("order_id" in line for line in lines) and not any("order_id" in line and "sum(" in line for line in lines)
+    assert "Expand" not in plan and "count(distinct" not in plan
+    got = {r["categoria"]: r["total_pedidos"] for r in reports.category_detail(tables[0]).collect()}
+    want = tables[0].groupBy(reports._category().alias("c")).agg(F.countDistinct("order_id").alias("n")).collect()
+    assert got == {r["c"]: r["n"] for r in want}

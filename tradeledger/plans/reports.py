@@ -7,6 +7,7 @@ reads the fact twice for all of them; the rows are the same.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,7 @@ class Measure(NamedTuple):
 
     direct: Column
     shared: Column
+    distinct_orders: bool = False
 
 
 def _category() -> Column:
@@ -44,7 +46,7 @@ def _r(c: Column) -> Column:
 
 
 def _orders() -> Measure:
-    return Measure(F.countDistinct("order_id"), F.col("orders"))
+    return Measure(F.countDistinct("order_id"), F.col("orders"), distinct_orders=True)
 
 
 def _rows() -> Measure:
@@ -113,6 +115,24 @@ def _total(source: DataFrame | Shared, measures: dict[str, Measure]) -> DataFram
     return source.agg(*[m.direct.alias(name) for name, m in measures.items()])
 
 
+def _grouped(rows: DataFrame, names: list[str], keys: list[Column], measures: dict[str, Measure]) -> DataFrame:
+    """The measures of each group.
+
+    Distinct orders are counted from (key, order) pairs alone: an aggregate of all measures at once
+    would keep the state of every measure for each pair, in each task.
+    """
+    others = [m.direct.alias(name) for name, m in measures.items() if not m.distinct_orders]
+    out = rows.groupBy(*keys).agg(*others)
+    if len(others) == len(measures):
+        return out
+    pairs = rows.select(*keys, "order_id").filter(F.col("order_id").isNotNull()).distinct()
+    counted = pairs.groupBy(*[F.col(k).alias(f"_key_{k}") for k in names]).agg(F.count(F.lit(1)).alias("_orders"))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in names])
+    orders = F.coalesce(F.col("_orders"), F.lit(0).cast("long"))
+    shown = [(orders if m.distinct_orders else F.col(name)).alias(name) for name, m in measures.items()]
+    return out.join(counted, same, "left").select(*names, *shown)
+
+
 def _report(
     source: DataFrame | Shared,
     by: dict[str, Column | str],
@@ -133,7 +153,7 @@ def _report(
         shown = [made[name].alias(name) if name in made else key for name, key in zip(by, keys)]
         out = source.grain(grain or list(by)).select(*shown, *[m.shared.alias(name) for name, m in measures.items()])
     else:
-        out = source.groupBy(*keys).agg(*[m.direct.alias(name) for name, m in measures.items()])
+        out = _grouped(source, list(by), keys, measures)
     if having is not None:
         out = out.filter(having)
     sorting = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order]
