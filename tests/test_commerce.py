@@ -1,5 +1,7 @@
 """Cleaning, joins and the fact on small inline frames."""
 
+import re
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tradeledger.operators import aggregates as agg
 from tradeledger.operators import cleaning as cl
-from tradeledger.operators import joins
+from tradeledger.operators import cohorts, joins
 from tradeledger.plans.fact import FACT_COLUMNS, build_fact, build_fact_whole_days, require_rows
 from tradeledger.sources.commerce import Commerce, commerce
 
@@ -148,6 +150,72 @@ def test_wide_rows_are_not_shuffled_for_products_or_sellers(spark, root, small,
     assert sorted(map(str, many.collect())) == sorted(map(str, rows))
 
 
+def written_shuffles(df):
+    """Column lists of the shuffles that were written, reused ones once; ``df`` has run."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    numbers = re.findall(r" Exchange \((\d+)\)", text.split("== Initial Plan ==")[0])
+    nodes = dict(re.findall(r"\n\((\d+)\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", text))
+    return [re.sub(r"#\d+L?", "", nodes[n]).split(", ") for n in numbers]
+
+
+@pytest.mark.parametrize("build", [build_fact, build_fact_whole_days])
+def test_item_rows_are_shuffled_once(spark, root, build):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        fact = build(commerce(spark, root))
+        fact.collect()
+        shuffles = written_shuffles(fact)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    # for copies, repeated grains, the sellers' orders and the orders' columns alike; products take pairs
+    assert len([c for c in shuffles if "order_item_id" in c]) == 1
+    assert len([c for c in shuffles if "product_photos_qty" in c and "order_id" in c]) == 1
+    # the orders' customers and days are dealt out once for ranks and totals
+    assert len([c for c in shuffles if "_day" in c and "order_id" in c]) == 1
+
+
+@pytest.mark.parametrize("build", [build_fact, build_fact_whole_days])
+@pytest.mark.parametrize("bound", ["BROADCAST_CATEGORIES", "BROADCAST_SELLERS"])
+def test_many_names_or_sellers_give_the_same_fact(spark, small, monkeypatch, build, bound):
+    rest = [("o1", i, p, s, d("2018-01-09"), 1.0, 1.0) for i, p, s in ((4, "p1", "s1"), (5, "p1", "s2"), (6, "p2", "s2"), (7, "p9", "s1"))]
+    source = replace(small, items=small.items.union(spark.createDataFrame(rest, ITEMS)))
+    few = sorted(map(str, build(source).collect()))
+    monkeypatch.setattr(f"tradeledger.plans.fact.{bound}", 0)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")  # merged again by adaptive execution
+    try:
+        many = build(source)
+        assert sorted(map(str, many.collect())) == few and len(few) >= 7
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    kinds = {(r.product_id, r.seller_id): (r.product_category_name_english, r.product_photos_qty, r.seller_city) for r in many.filter("order_id = 'o1'").collect()}
+    assert kinds["p1", "s1"] == ("home", 1, "x") and kinds["p1", "s2"] == ("home", 1, "y")
+    assert kinds["p2", "s2"] == (None, 1, "y") and kinds["p9", "s1"] == (None, None, "x")
+
+
+@pytest.mark.parametrize("number_unknown", [True, False])
+def test_history_of_orders_against_its_parts(spark, rows, number_unknown):
+    bought = [
+        ("a", "u1", "2018-01-05T10:00:00"), ("b", "u1", "2018-01-05T10:00:00"), ("c", "u1", "2018-01-05T11:00:00"),
+        ("d", "u1", "2018-02-01T00:00:00"), ("e", "u2", "2018-01-05T10:00:00"), ("f", None, "2018-01-05T09:00:00"),
+        ("g", None, "2018-01-06T09:00:00"), ("h", None, "2018-01-06T09:00:00"), ("i", "u1", "2017-12-31T23:00:00"),
+    ]
+    orders = spark.createDataFrame(
+        [(o, u, o.upper(), d(t)) for o, u, t in bought],
+        "order_id string, customer_unique_id string, customer_city string, order_purchase_timestamp timestamp_ntz",
+    )
+    got = {r["order_id"]: r for r in rows(cohorts.with_purchase_history(orders, number_unknown))}
+    assert len(got) == len(bought) and all(r["customer_city"] == o.upper() for o, r in got.items())
+    sequence = {(r["customer_group"]["customer_unique_id"], r["order_purchase_timestamp"]): r["customer_order_sequence"] for r in rows(cohorts.purchase_sequence(orders))}
+    first = {r["customer_unique_id"]: r["customer_first_purchase_timestamp"] for r in rows(cohorts.first_purchase(orders))}
+    for o, u, t in bought:
+        assert got[o]["customer_order_sequence"] == (sequence[u, d(t)] if u or number_unknown else None)
+        assert got[o]["customer_first_purchase_timestamp"] == first.get(u)
+    assert [got[o]["customer_order_sequence"] for o in "iabcd"] == [1, 2, 2, 3, 4]
+
+
 def test_whole_day_variant(small, rows):
     got = {(r["order_id"], r["order_item_id"]): r for r in rows(build_fact_whole_days(small))}
     assert sorted(got) == [("o1", 1), ("o2", 1), ("o4", 1)]  # the item without price is dropped

@@ -89,11 +89,16 @@ def item_rejections() -> list[tuple[str, Column]]:
     ]
 
 
-def clean_items(items: DataFrame) -> DataFrame:
+def valid_items(items: DataFrame) -> DataFrame:
+    """The accepted rows, copies included."""
     typed = parse_date_columns(items)
     for _, rejected in item_rejections():
         typed = typed.filter(~rejected)
-    return distinct_rows(typed)
+    return typed
+
+
+def clean_items(items: DataFrame) -> DataFrame:
+    return distinct_rows(valid_items(items))
 
 
 def split_rejected(df: DataFrame, rules: list[tuple[str, Column]]) -> tuple[DataFrame, DataFrame]:
@@ -128,11 +133,15 @@ def _typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
 
 
+def valid_staged_items(items: DataFrame) -> DataFrame:
+    """As `valid_items`, but a missing price or freight rejects the row."""
+    typed = _typed(items, {"order_item_id": "int", "price": "double", "freight_value": "double"})
+    return typed.filter(_present("order_id", "product_id", "seller_id")).filter("price >= 0 and freight_value >= 0")
+
+
 def stage_items(items: DataFrame) -> DataFrame:
     """As `clean_items`, but a missing price or freight rejects the row and the grain is unique."""
-    typed = _typed(items, {"order_item_id": "int", "price": "double", "freight_value": "double"})
-    valid = typed.filter(_present("order_id", "product_id", "seller_id")).filter("price >= 0 and freight_value >= 0")
-    return keep_one(valid, GRAIN, ["shipping_limit_date"])
+    return keep_one(valid_staged_items(items), GRAIN, ["shipping_limit_date"])
 
 
 def stage_payments(payments: DataFrame) -> DataFrame:

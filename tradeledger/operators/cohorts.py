@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tradeledger.operators.joins import left_join_m1
+
 
 def first_purchase(orders: DataFrame) -> DataFrame:
     """Earliest purchase per known customer (aggregate, joined back by the caller)."""
@@ -41,6 +43,40 @@ def purchase_sequence(orders: DataFrame) -> DataFrame:
     )
 
 
+def with_purchase_history(orders: DataFrame, number_unknown: bool = True) -> DataFrame:
+    """``orders`` with the columns of `first_purchase` and `purchase_sequence` over these same rows.
+
+    Unknown customers are numbered as one group, or not at all. ``orders`` has one row per order, all
+    with a purchase time. The rows are dealt out once, by customer and day; each day's number of times
+    and first time go on to the customer and come back. Equal times are ordered by all other columns,
+    so that both readers of that shuffle read the same columns and it is written a single time.
+    """
+    day = F.struct("customer_unique_id", F.to_date("order_purchase_timestamp").alias("day"))
+    dated = orders.withColumn("_day", day).drop("customer_unique_id")
+    rest = [c for c in orders.columns if c not in ("customer_unique_id", "order_purchase_timestamp")]
+    in_day = W.partitionBy("_day").orderBy("order_purchase_timestamp", *rest)
+    repeated = F.lag("order_purchase_timestamp").over(in_day) == F.col("order_purchase_timestamp")
+    marked = dated.withColumn("_new", F.when(repeated, 0).otherwise(1))
+    ranked = marked.withColumn("_rank", F.sum("_new").over(in_day.rowsBetween(W.unboundedPreceding, W.currentRow))).drop("_new")
+
+    per_day = ranked.groupBy("_day").agg(F.max("_rank").alias("_times"), F.min("order_purchase_timestamp").alias("_first"))
+    # a struct around null is itself not null, so unknown customers are a group like any other
+    per_day = per_day.withColumn("_group", F.struct("_day.customer_unique_id"))
+    by_day = W.partitionBy("_group").orderBy("_day")
+    days = per_day.select(
+        "_day",
+        F.coalesce(F.sum("_times").over(by_day.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_earlier"),
+        F.min("_first").over(by_day.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("_first"),
+    )
+    joined = left_join_m1(ranked, days, ["_day"], keyed=True).withColumn("customer_unique_id", F.col("_day.customer_unique_id"))
+    known = F.col("customer_unique_id").isNotNull()
+    return joined.select(
+        *orders.columns,
+        F.when(known, F.col("_first")).alias("customer_first_purchase_timestamp"),
+        F.when(known | F.lit(number_unknown), F.col("_earlier") + F.col("_rank")).alias("customer_order_sequence"),
+    )
+
+
 def retention(cohorts: DataFrame) -> DataFrame:
     """Cohort rows with the customers of month 0 and the retention rate in percent."""
     base = cohorts.filter(F.col("cohort_order_month_number") == 0).groupBy("purchase_cohort_month")

@@ -2,15 +2,17 @@
 
 Shape of the plan: everything that belongs to an order (customer, history, payments,
 reviews) is joined at order grain first, where keys are unique and rows are few. The customer
-and the history are found from the keys of the orders alone. The item table meets products and
-sellers while its rows are narrow, and the orders, which have most of the columns, last (only
-sellers that are broadcast come later): a row is not shuffled again once it has them. Every right side is an aggregate keyed by its join key,
-so a query that reads only a few fact columns loses the joins it does not need.
+and the history are found from the keys of the orders alone. The item table is shuffled once, by
+order: copies and repeated grains are merged, the sellers' orders counted and the order's columns
+joined on that shuffle. Products, and sellers that are too many to be broadcast, are found from
+pairs of order and key. Every right side is an aggregate keyed by its join key, so a query that
+reads only a few fact columns loses the joins it does not need.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradeledger.functions.scalars import (
@@ -24,7 +26,7 @@ from tradeledger.functions.scalars import (
 )
 from tradeledger.operators import aggregates as agg
 from tradeledger.operators import cleaning as cl
-from tradeledger.operators.cohorts import first_purchase, purchase_sequence
+from tradeledger.operators.cohorts import with_purchase_history
 from tradeledger.operators.joins import few_keys, left_join_m1
 from tradeledger.session import stage
 from tradeledger.sources.commerce import Commerce
@@ -35,8 +37,9 @@ CARRIER = "order_delivered_carrier_date"
 DELIVERED = "order_delivered_customer_date"
 ESTIMATED = "order_estimated_delivery_date"
 
-# Fixed value: sellers up to this number are broadcast (about 200 bytes each).
+# Sellers (about 200 bytes each) and category names up to these numbers are broadcast.
 BROADCAST_SELLERS = 500_000
+BROADCAST_CATEGORIES = 100_000
 
 FACT_COLUMNS = [
     "order_id", "order_item_id", "customer_id", "customer_unique_id", "product_id", "seller_id",
@@ -56,21 +59,15 @@ FACT_COLUMNS = [
 ]
 
 
-def _owners(orders: DataFrame, t: Commerce) -> DataFrame:
-    """(order_id, purchase time, customer columns) of the orders: the keys that lead to a customer's history."""
-    keys = orders.select("order_id", "customer_id", PURCHASE)
-    return left_join_m1(keys, cl.clean_customers(t.customers), ["customer_id"], keyed=True).drop("customer_id")
+def _with_history(orders: DataFrame, purchases: DataFrame, t: Commerce, number_unknown: bool) -> DataFrame:
+    """Customer and history columns of the orders; only the orders of ``purchases`` count.
 
-
-def _with_history(orders: DataFrame, owners: DataFrame, active: DataFrame) -> DataFrame:
-    """Customer and history columns of the orders; only ``active`` orders count as purchases."""
-    with_first = left_join_m1(owners, first_purchase(active), ["customer_unique_id"], keyed=True)
-    grouped = with_first.withColumn("customer_group", F.struct("customer_unique_id"))
-    known = left_join_m1(grouped, purchase_sequence(active), ["customer_group", PURCHASE], keyed=True)
-    # one row an order already; the aggregate only tells the optimizer so
-    found = [c for c in known.columns if c not in ("order_id", "customer_group", PURCHASE)]
-    keyed = known.groupBy("order_id").agg(*[F.first(c).alias(c) for c in found])
-    return left_join_m1(orders, keyed, ["order_id"], keyed=True)
+    An order without purchase time finds none: it is no purchase, and none of its rows stays in the fact.
+    """
+    dated = purchases.filter(F.col(PURCHASE).isNotNull()).select("order_id", "customer_id", PURCHASE)
+    owned = left_join_m1(dated, cl.clean_customers(t.customers), ["customer_id"], keyed=True).drop("customer_id")
+    history = with_purchase_history(owned, number_unknown).drop(PURCHASE)
+    return left_join_m1(orders, history, ["order_id"], keyed=True)
 
 
 def _order_calendar(orders: DataFrame, duration) -> DataFrame:
@@ -91,42 +88,46 @@ def _order_calendar(orders: DataFrame, duration) -> DataFrame:
     )
 
 
-def _with_products(items: DataFrame, t: Commerce) -> DataFrame:
-    products = left_join_m1(
-        cl.clean_products(t.products), cl.clean_translation(t.translation), ["product_category_name"], keyed=True
-    )
-    return left_join_m1(items, products, ["product_id"], keyed=True)
-
+def _looked_up(rows: DataFrame, valid: DataFrame, sides: list[DataFrame], key: str) -> DataFrame:
+    """``rows``, which lie by order, with the columns that ``sides`` have for their ``key``.
 
-def _enrich(items: DataFrame, orders: DataFrame, t: Commerce, metrics: DataFrame, order: list[str] | None = None) -> DataFrame:
+    Only pairs (order_id, ``key``) of the items go to the sides. What they find goes to the partition of the
+    order, where each row takes it from its pair. That is a union, as two tables by order lie by order
+    together; a join over both columns would shuffle both sides again.
+    """
+    found = valid.select("order_id", key)
+    for side in sides:
+        found = left_join_m1(found, side, [key], keyed=True)
+    columns = [c for c in found.columns if c not in ("order_id", key)]
+    own = [c for c in rows.columns if c not in ("order_id", key)]
+    packed = rows.select("order_id", key, F.struct(*own).alias("_row"))
+    both = found.repartition("order_id").unionByName(packed, allowMissingColumns=True)
+    pair = W.partitionBy("order_id", key).orderBy(F.col("_row").isNotNull())
+    pair = pair.rowsBetween(W.unboundedPreceding, W.currentRow)
+    taken = both.withColumns({c: F.first(c).over(pair) for c in columns}).filter(F.col("_row").isNotNull())
+    return taken.select("order_id", key, "_row.*", *columns)
+
+
+def _enrich(valid: DataFrame, items: DataFrame, orders: DataFrame, t: Commerce, metrics: DataFrame) -> DataFrame:
     """The item table joined to the product, translation, seller, metric and order sides.
 
-    With ``order`` items that share a grain are cut to the first. Sellers that are few enough are
-    broadcast to the finished rows; more are joined while the rows are narrow.
+    ``items`` lie by order and have one row per grain, ``valid`` are the rows they come from. Sellers and
+    category names that are few enough are broadcast to the finished rows; more sellers are found as the
+    products are, more names (or names beside so many sellers) go with the products.
     """
-    few = few_keys([t.items, t.sellers], "seller_id", BROADCAST_SELLERS)
-
-    def with_sellers(rows: DataFrame) -> DataFrame:
-        for side in (cl.clean_sellers(t.sellers), metrics):
-            rows = left_join_m1(rows, F.broadcast(side) if few else side, ["seller_id"], keyed=True)
-        return rows
-
-    rows = _with_products(items, t)
-    rows = rows if few else with_sellers(rows)
-    rows = _one_per_grain(rows, order) if order else rows
+    products, names = cl.clean_products(t.products), cl.clean_translation(t.translation)
+    few_sellers = few_keys([t.items, t.sellers], "seller_id", BROADCAST_SELLERS)
+    few_names = few_sellers and few_keys([t.translation], "product_category_name", BROADCAST_CATEGORIES)
+    sellers = [cl.clean_sellers(t.sellers), metrics]
+    products = products if few_names else left_join_m1(products, names, ["product_category_name"], keyed=True)
+    rows = _looked_up(items, valid, [products], "product_id")
+    rows = rows if few_sellers else _looked_up(rows, valid, sellers, "seller_id")
     rows = left_join_m1(rows, orders, ["order_id"], keyed=True)
-    return with_sellers(rows) if few else rows
-
-
-def _one_per_grain(rows: DataFrame, order: list[str]) -> DataFrame:
-    """The first row of a repeated grain by ``order``, on the shuffle that the join to the orders needs.
-
-    All other columns belong to the product or the seller, which are part of the grain.
-    """
-    made = [F.min(F.struct(*order)).alias("_first")]
-    made += [F.first(c).alias(c) for c in rows.columns if c not in (*cl.GRAIN, *order)]
-    first = rows.repartition("order_id").groupBy(*cl.GRAIN).agg(*made)
-    return first.select(*[F.col(f"_first.{c}").alias(c) if c in order else F.col(c) for c in rows.columns])
+    if few_names:
+        rows = left_join_m1(rows, F.broadcast(names), ["product_category_name"], keyed=True)
+    for side in sellers if few_sellers else []:
+        rows = left_join_m1(rows, F.broadcast(side), ["seller_id"], keyed=True)
+    return rows
 
 
 def build_fact(t: Commerce, tier_bounds: tuple[int, ...] = agg.TIER_BOUNDS, staged: bool = False) -> DataFrame:
@@ -134,19 +135,21 @@ def build_fact(t: Commerce, tier_bounds: tuple[int, ...] = agg.TIER_BOUNDS, stag
 
     Items and orders feed several branches (the rows themselves, the sellers' metrics, the
     customers' history). ``staged=True`` writes the cleaned items and the order keys once to
-    the checkpoint folder, so that a full build scans and shuffles the raw items a single
+    the checkpoint folder, so that a full build scans and cleans the raw items a single
     time. The default stays lazy, which is better for a query that needs few columns.
     """
+    valid = cl.valid_items(t.items)
+    valid = stage(cl.distinct_rows(valid), "items") if staged else valid
     # the first row of a repeated grain survives; the seller metrics still count all of them
-    items = cl.clean_items(t.items)
-    items = stage(items, "items") if staged else items
+    items = cl.distinct_rows(valid.repartition("order_id"))
+    first = cl.keep_one(items, cl.GRAIN, ["shipping_limit_date", "price", "freight_value"])
     orders = cl.clean_orders(t.orders)
-    sold = items.select("order_id").distinct()
+    # a count that is read keeps all columns of the distinct rows, so that their shuffle serves here too
+    sold = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("_items")).filter("_items > 0")
 
-    owners = _owners(orders, t)
-    active = owners.join(sold, "order_id", "left_semi").select("order_id", "customer_unique_id", PURCHASE)
-    active = stage(active, "active_orders") if staged else active
-    order_side = _with_history(orders, owners, active)
+    purchases = orders.select("order_id", "customer_id", PURCHASE).join(sold, "order_id", "left_semi")
+    purchases = stage(purchases, "purchases") if staged else purchases
+    order_side = _with_history(orders, purchases, t, number_unknown=True)
     order_side = _order_calendar(order_side, days_between)
     order_side = left_join_m1(
         order_side, agg.payments_by_order(cl.distinct_rows(t.payments)), ["order_id"], keyed=True
@@ -156,7 +159,7 @@ def build_fact(t: Commerce, tier_bounds: tuple[int, ...] = agg.TIER_BOUNDS, stag
     metrics = agg.seller_metrics(
         items, orders, days_between(PURCHASE, DELIVERED), later_than(DELIVERED, ESTIMATED), tier_bounds
     )
-    fact = _enrich(items, order_side, t, metrics, ["shipping_limit_date", "price", "freight_value"])
+    fact = _enrich(valid, first, order_side, t, metrics)
     fact = fact.withColumns(
         {
             "is_delayed": F.coalesce("is_delayed", F.lit(False)),
@@ -169,19 +172,21 @@ def build_fact(t: Commerce, tier_bounds: tuple[int, ...] = agg.TIER_BOUNDS, stag
 
 def build_fact_whole_days(t: Commerce, tier_bounds: tuple[int, ...] = agg.TIER_BOUNDS) -> DataFrame:
     """The SQL-model variant: whole-day durations, rows without price dropped, history over all orders."""
-    items = cl.stage_items(t.items)
+    valid = cl.valid_staged_items(t.items)
+    items = cl.keep_one(valid.repartition("order_id"), cl.GRAIN, ["shipping_limit_date"])
     orders = cl.clean_orders(t.orders)
-    owners = _owners(orders, t)
-    order_side = _with_history(orders, owners, owners.filter(F.col("customer_unique_id").isNotNull()))
+    order_side = _with_history(orders, orders, t, number_unknown=False)
     order_side = _order_calendar(order_side, whole_days_between)
     payments = agg.payments_by_order(cl.stage_payments(t.payments), null_total_as_zero=False)
     reviews = agg.reviews_by_order(cl.stage_reviews(t.reviews))
     order_side = left_join_m1(order_side, payments, ["order_id"], keyed=True)
     order_side = left_join_m1(order_side, reviews, ["order_id"], keyed=True)
+    # every item has a price; to count prices keeps the columns of the rows, so that their shuffle serves here too
+    counted = items.groupBy("seller_id", "order_id").agg(F.count("price").alias("_copies"))
     metrics = agg.seller_metrics(
-        items, orders, whole_days_between(PURCHASE, DELIVERED), later_than(DELIVERED, ESTIMATED), tier_bounds
+        counted, orders, whole_days_between(PURCHASE, DELIVERED), later_than(DELIVERED, ESTIMATED), tier_bounds, "_copies"
     )
-    fact = _enrich(items, order_side, t, metrics)
+    fact = _enrich(valid, items, order_side, t, metrics)
     fact = fact.withColumns(
         {
             "is_delayed": F.coalesce("is_delayed", F.lit(False)),
